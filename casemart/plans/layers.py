@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable, Sequence
-from functools import cached_property
 
 from pyspark.sql import DataFrame
 
@@ -48,27 +48,43 @@ class Layers:
         self.raw = raw
         self.flavour = flavour
         self._store = store
-
-    @cached_property
+        self._built: dict[str, DataFrame] = {}
+        self._lock = threading.RLock()
+
+    def _layer(
+        self, name: str, make: Callable[[], DataFrame], sort_by: Sequence[str] = ()
+    ) -> DataFrame:
+        with self._lock:
+            if name not in self._built:
+                self._built[name] = self._store(name, make(), sort_by)
+            return self._built[name]
+
+    @property
     def silver(self) -> DataFrame:
-        return self._store("silver_casos", clean.silver_cases(self.raw, self.flavour), ())
+        return self._layer("silver_casos", lambda: clean.silver_cases(self.raw, self.flavour))
 
-    @cached_property
+    @property
     def dim_provincia(self) -> DataFrame:
-        return self._store("dim_provincia", star.dim_provincia(self.silver, self.flavour), ())
+        return self._layer(
+            "dim_provincia", lambda: star.dim_provincia(self.silver, self.flavour)
+        )
 
-    @cached_property
+    @property
     def dim_departamento(self) -> DataFrame:
-        dim = star.dim_departamento(self.silver, self.flavour)
-        return self._store("dim_departamento", dim, ())
+        return self._layer(
+            "dim_departamento", lambda: star.dim_departamento(self.silver, self.flavour)
+        )
 
-    @cached_property
+    @property
     def fact(self) -> DataFrame:
         """Sorted by classification inside each file: most marts read one class only."""
-        fact = star.fact_cases(
-            self.silver, self.dim_departamento, self.dim_provincia, self.flavour
+        return self._layer(
+            "fact_casos",
+            lambda: star.fact_cases(
+                self.silver, self.dim_departamento, self.dim_provincia, self.flavour
+            ),
+            sort_by=("clasificacion",),
         )
-        return self._store("fact_casos", fact, ("clasificacion",))
 
     def tables(self) -> dict[str, DataFrame]:
         return {
