@@ -33,26 +33,17 @@ def dedup_by_priority(
 def duplicate_audit(df: DataFrame, key: str | Sequence[str]) -> DataFrame:
     """Keys with more than one row: key columns, n_rows, differing_columns (comma separated).
 
-    A column differs inside a key if it holds two values, or a value and a NULL. Minimum,
-    maximum and count decide that, so rows are folded before the shuffle; no list of values
-    is ever built and a hot key stays one row per map task.
+    A column differs inside a key if its smallest and largest value do; wrapped in a struct,
+    NULL takes part as the smallest value. Rows are folded before the shuffle and no list of
+    values is ever built, so a hot key stays one row per map task.
     """
     keys = [key] if isinstance(key, str) else list(key)
     others = [c for c in df.columns if c not in keys]
     folded = [F.count(F.lit(1)).alias("n_rows")]
     for i, c in enumerate(others):
-        folded += [
-            F.min(c).alias(f"_lo{i}"),
-            F.max(c).alias(f"_hi{i}"),
-            F.count(c).alias(f"_n{i}"),
-        ]
+        folded += [F.min(F.struct(c)).alias(f"_lo{i}"), F.max(F.struct(c)).alias(f"_hi{i}")]
     marks = [
-        F.when(
-            (F.col(f"_lo{i}") != F.col(f"_hi{i}"))
-            | ((F.col(f"_n{i}") > 0) & (F.col(f"_n{i}") < F.col("n_rows"))),
-            F.lit(c),
-        )
-        for i, c in enumerate(others)
+        F.when(F.col(f"_lo{i}") != F.col(f"_hi{i}"), F.lit(c)) for i, c in enumerate(others)
     ]
     return (
         df.groupBy(*keys)

@@ -15,19 +15,21 @@ def distinct_rows(df: DataFrame, columns: Sequence[str], required: str) -> DataF
 def any_value_per_group(df: DataFrame, keys: Sequence[str], column: str) -> DataFrame:
     """One value of `column` per key: the smallest, ignoring NULL.
 
-    The distinct step first shrinks the input with a hash aggregate; a direct `min` of a text
-    column would sort every input row to do the same.
+    The input is first folded to its distinct rows with a hash aggregate; a direct `min` of a
+    text column would sort every input row instead. The `min` reads the fold's count, without
+    which the optimizer would merge both steps into that one sort.
     """
-    return (
-        df.select(*keys, column).distinct().groupBy(*keys).agg(F.min(column).alias(column))
-    )
+    seen = df.groupBy(*keys, column).agg(F.count(F.lit(1)).alias("_n"))
+    value = F.when(F.col("_n") > 0, F.col(column))
+    return seen.groupBy(*keys).agg(F.min(value).alias(column))
 
 
 def with_surrogate_key(df: DataFrame, order_cols: Sequence[str], name: str) -> DataFrame:
     """Number the rows 1..n in the order of `order_cols`; the same in every run.
 
     The rank is taken inside each value of the first order column and shifted by the number of
-    rows before that value, so no task orders the whole frame.
+    rows before that value, so no task orders the whole frame. `df` is read twice: pass a
+    written frame if it is costly to derive.
     """
     lead, rest = order_cols[0], list(order_cols[1:])
     sizes = df.groupBy(F.col(lead).alias("_lead")).agg(F.count(F.lit(1)).alias("_size"))

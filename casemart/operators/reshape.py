@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
 def top_n(df: DataFrame, by: str, n: int = 20, ties: Sequence[str] = ()) -> DataFrame:
@@ -34,17 +34,17 @@ def matrix(
 ) -> DataFrame:
     """Cross table of sums with 0 for gaps, heaviest row first.
 
-    `values` fixes the result columns, so the schema does not depend on the data and one
-    aggregate fills all of them. `total` sums the whole row, listed in `values` or not.
+    `values` fixes the result columns, so the schema does not depend on the data and Spark need
+    not look for the values first. `total` sums the whole row, listed in `values` or not.
     """
-    cells = [
-        F.coalesce(F.sum(F.when(F.col("_column") == v, F.col(measure))), F.lit(0)).alias(v)
-        for v in values
-    ]
+    whole_row = F.sum(measure).over(Window.partitionBy(row))
     return (
-        df.withColumn("_column", column)
-        .groupBy(row)
-        .agg(F.sum(measure).alias(total), *cells)
+        df.select(row, column.alias("_column"), measure, whole_row.alias("_total"))
+        .groupBy(row, "_total")
+        .pivot("_column", list(values))
+        .agg(F.sum(measure))
+        .fillna(0, subset=list(values))
+        .withColumnRenamed("_total", total)
         .orderBy(F.desc(total), row)
     )
 

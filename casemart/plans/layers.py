@@ -72,7 +72,14 @@ class Layers:
     @property
     def dim_departamento(self) -> DataFrame:
         return self._layer(
-            "dim_departamento", lambda: star.dim_departamento(self.silver, self.flavour)
+            "dim_departamento", lambda: star.dim_departamento(self._departments, self.flavour)
+        )
+
+    @property
+    def _departments(self) -> DataFrame:
+        """Kept on its own because numbering reads it twice."""
+        return self._layer(
+            "departamentos", lambda: star.departments(self.silver, self.flavour)
         )
 
     @property

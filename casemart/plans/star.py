@@ -77,7 +77,7 @@ def dim_provincia(silver: DataFrame, flavour: Flavour) -> DataFrame:
     )
 
 
-def dim_departamento(silver: DataFrame, flavour: Flavour) -> DataFrame:
+def departments(silver: DataFrame, flavour: Flavour) -> DataFrame:
     """One row per (department name, province).
 
     The official code is ambiguous, so it is kept for information only: the smallest code of
@@ -91,11 +91,15 @@ def dim_departamento(silver: DataFrame, flavour: Flavour) -> DataFrame:
             "departamento_id_original"
         ),
     )
-    name = named.columns[0]
-    dim = any_value_per_group(named, [name, "provincia_id"], "departamento_id_original")
-    if confirmed:
-        dim = with_surrogate_key(dim, ["provincia_id", name], "departamento_sk")
-    return dim
+    return any_value_per_group(named, named.columns[:2], "departamento_id_original")
+
+
+def dim_departamento(departments: DataFrame, flavour: Flavour) -> DataFrame:
+    """The departments, numbered in the confirmed flavour."""
+    if flavour == Flavour.ALLCASES:
+        return departments
+    order = ["provincia_id", departments.columns[0]]
+    return with_surrogate_key(departments, order, "departamento_sk")
 
 
 def fact_cases(
