@@ -14,7 +14,7 @@ def ingest_new_files(
     table_dir: str,
     checkpoint: str,
     pattern: str = "*.csv",
-    max_bytes_per_batch: str | None = None,
+    max_bytes_per_batch: int | None = None,
 ) -> DataFrame:
     """Append the files of `src_dir` that earlier runs have not loaded; return the whole table.
 
@@ -23,7 +23,7 @@ def ingest_new_files(
     default the file source ignores files much older than the newest it has seen; the age limit
     is lifted so that a late delivery of an old file is still loaded.
 
-    `max_bytes_per_batch` (for example `1t`) splits a large backlog into several commits.
+    `max_bytes_per_batch` splits a large backlog into several commits.
     """
     reader = (
         spark.readStream.schema(RAW_SCHEMA)
@@ -32,7 +32,7 @@ def ingest_new_files(
         .option("maxFileAge", "36500d")
     )
     if max_bytes_per_batch:
-        reader = reader.option("maxBytesPerTrigger", max_bytes_per_batch)
+        reader = reader.option("maxBytesPerTrigger", str(max_bytes_per_batch))
     query = (
         reader.csv(src_dir)
         .writeStream.format("parquet")
