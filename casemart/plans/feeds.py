@@ -1,4 +1,4 @@
-"""The tables the reports draw, derived from the marts on Spark."""
+"""The tables the reports draw, derived on Spark from the stored marts."""
 
 from __future__ import annotations
 
@@ -8,24 +8,24 @@ from pyspark.sql import DataFrame, functions as F
 
 from casemart.functions import band_start, month_label
 from casemart.operators import long_form, matrix, merge_null_safe, sort_nulls_last
-from casemart.plans import marts
 from casemart.plans.layers import Layers
+from casemart.plans.marts import stored
 from casemart.plans.star import ONSET
 
 OLDEST_BAND = 90
 
 
 def daily_curve(layers: Layers) -> DataFrame:
-    return sort_nulls_last(marts.casos_por_dia(layers).select(ONSET, "total_casos"), ONSET)
+    return sort_nulls_last(stored(layers, "casos_por_dia").select(ONSET, "total_casos"), ONSET)
 
 
 def age_rate(layers: Layers) -> DataFrame:
-    return marts.mortalidad_por_edad(layers).select("franja_etaria", "tasa_mortalidad_pct")
+    return stored(layers, "mortalidad_por_edad").select("franja_etaria", "tasa_mortalidad_pct")
 
 
 def deaths_age(layers: Layers) -> DataFrame:
     """Needs the allcases layers: only that flavour has the mart."""
-    return marts.edad_fallecidos(layers)
+    return stored(layers, "edad_fallecidos")
 
 
 def _provinces(mart: DataFrame, metric: str) -> DataFrame:
@@ -33,20 +33,20 @@ def _provinces(mart: DataFrame, metric: str) -> DataFrame:
 
 
 def province_rate(layers: Layers) -> DataFrame:
-    return _provinces(marts.resumen_provincia(layers), "tasa_mortalidad_pct")
+    return _provinces(stored(layers, "resumen_provincia"), "tasa_mortalidad_pct")
 
 
 def province_delay(layers: Layers) -> DataFrame:
-    return _provinces(marts.demoras_sistema_salud(layers), "promedio_dias_diagnostico")
+    return _provinces(stored(layers, "demoras_sistema_salud"), "promedio_dias_diagnostico")
 
 
 def province_volume(layers: Layers) -> DataFrame:
-    return _provinces(marts.resumen_provincia(layers), "total_casos")
+    return _provinces(stored(layers, "resumen_provincia"), "total_casos")
 
 
 def funding_long(layers: Layers) -> DataFrame:
     return long_form(
-        marts.publico_vs_privado(layers),
+        stored(layers, "publico_vs_privado"),
         ["origen_financiamiento"],
         ["tasa_mortalidad_pct", "total_uti", "total_casos"],
         "metrica",
@@ -64,12 +64,12 @@ def uti_arm(layers: Layers) -> DataFrame:
             "tasa_mortalidad_pct",
         )
 
-    uti = side(marts.efectividad_uti(layers), "requirio_uti", "UTI")
-    return uti.unionByName(side(marts.efectividad_arm(layers), "requirio_arm", "ARM"))
+    uti = side(stored(layers, "efectividad_uti"), "requirio_uti", "UTI")
+    return uti.unionByName(side(stored(layers, "efectividad_arm"), "requirio_arm", "ARM"))
 
 
 def died_survived(layers: Layers) -> DataFrame:
-    totals = marts.kpis_generales(layers).select(
+    totals = stored(layers, "kpis_generales").select(
         F.col("total_fallecidos").alias("Fallecidos"),
         (F.col("total_confirmados") - F.col("total_fallecidos")).alias("No fallecidos"),
     )
@@ -77,19 +77,19 @@ def died_survived(layers: Layers) -> DataFrame:
 
 
 def deaths_sex(layers: Layers) -> DataFrame:
-    mart = marts.composicion_fallecidos_sexo(layers)
+    mart = stored(layers, "composicion_fallecidos_sexo")
     label = F.format_string("%.1f%%\n(%,d)", "pct_del_total", "total_fallecidos")
     return mart.withColumn("etiqueta", label)
 
 
 def monthly_rate(layers: Layers) -> DataFrame:
-    mart = marts.letalidad_mensual(layers).select("mes", "tasa_mortalidad_pct")
+    mart = stored(layers, "letalidad_mensual").select("mes", "tasa_mortalidad_pct")
     return mart.dropna(subset=["mes"]).orderBy("mes")
 
 
 def province_month_matrix(layers: Layers, months: Sequence[str]) -> DataFrame:
     """Provinces by months with 0 for gaps; `total_casos` sums every month, listed or not."""
-    cells = marts.casos_provincia_mes(layers).dropna(subset=["mes", "provincia_nombre"])
+    cells = stored(layers, "casos_provincia_mes").dropna(subset=["mes", "provincia_nombre"])
     return matrix(
         cells, "provincia_nombre", month_label("mes"), months, "total_casos", "total_casos"
     )
@@ -97,18 +97,18 @@ def province_month_matrix(layers: Layers, months: Sequence[str]) -> DataFrame:
 
 def matrix_bounds(layers: Layers) -> DataFrame:
     """Colour scale of the matrix: its smallest positive and its largest cell."""
-    cells = marts.casos_provincia_mes(layers).dropna(subset=["mes", "provincia_nombre"])
+    cells = stored(layers, "casos_provincia_mes").dropna(subset=["mes", "provincia_nombre"])
     positive = F.when(F.col("total_casos") > 0, F.col("total_casos"))
     return cells.agg(F.min(positive).alias("minimo"), F.max("total_casos").alias("maximo"))
 
 
 def pyramid(layers: Layers) -> DataFrame:
     """Decades up to the oldest one drawn, in numeric order."""
-    bands = marts.piramide_edad(layers).withColumn("edad_inicio", band_start("franja_etaria"))
+    bands = stored(layers, "piramide_edad").withColumn("edad_inicio", band_start("franja_etaria"))
     return bands.filter(F.col("edad_inicio") <= OLDEST_BAND).orderBy("edad_inicio")
 
 
 def delay_vs_rate(layers: Layers) -> DataFrame:
     """Delays and rates side by side; the group without a province pairs with itself."""
-    summary = marts.resumen_provincia(layers).drop("promedio_dias_diagnostico")
-    return merge_null_safe(marts.demoras_sistema_salud(layers), summary, "provincia_nombre")
+    summary = stored(layers, "resumen_provincia").drop("promedio_dias_diagnostico")
+    return merge_null_safe(stored(layers, "demoras_sistema_salud"), summary, "provincia_nombre")

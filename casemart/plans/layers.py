@@ -51,9 +51,10 @@ class Layers:
         self._built: dict[str, DataFrame] = {}
         self._lock = threading.RLock()
 
-    def _layer(
+    def keep(
         self, name: str, make: Callable[[], DataFrame], sort_by: Sequence[str] = ()
     ) -> DataFrame:
+        """The stored frame `name`, made by `make` when first asked for."""
         with self._lock:
             if name not in self._built:
                 self._built[name] = self._store(name, make(), sort_by)
@@ -61,31 +62,31 @@ class Layers:
 
     @property
     def silver(self) -> DataFrame:
-        return self._layer("silver_casos", lambda: clean.silver_cases(self.raw, self.flavour))
+        return self.keep("silver_casos", lambda: clean.silver_cases(self.raw, self.flavour))
 
     @property
     def dim_provincia(self) -> DataFrame:
-        return self._layer(
+        return self.keep(
             "dim_provincia", lambda: star.dim_provincia(self.silver, self.flavour)
         )
 
     @property
     def dim_departamento(self) -> DataFrame:
-        return self._layer(
+        return self.keep(
             "dim_departamento", lambda: star.dim_departamento(self._departments, self.flavour)
         )
 
     @property
     def _departments(self) -> DataFrame:
         """Kept on its own because numbering reads it twice."""
-        return self._layer(
+        return self.keep(
             "departamentos", lambda: star.departments(self.silver, self.flavour)
         )
 
     @property
     def fact(self) -> DataFrame:
         """Sorted by classification inside each file: most marts read one class only."""
-        return self._layer(
+        return self.keep(
             "fact_casos",
             lambda: star.fact_cases(
                 self.silver, self.dim_departamento, self.dim_provincia, self.flavour

@@ -297,6 +297,11 @@ MARTS: dict[str, Mart] = {
 }
 
 
+def stored(layers: Layers, name: str) -> DataFrame:
+    """The mart `name`, computed once and kept with its layers, for whatever reads it next."""
+    return layers.keep(f"gold_{name}", lambda: MARTS[name].build(layers))
+
+
 def mart_names(flavour: Flavour) -> list[str]:
     return [name for name, mart in MARTS.items() if flavour in mart.flavours]
 
@@ -314,16 +319,14 @@ def build(
     As tables, each layer is written once and the marts read the written fact; as views
     nothing runs now and every query goes back to `raw`.
     """
-    stores = {"table": lambda: keep_as_table(database), "view": lambda: keep_as_view}
+    stores = {"table": keep_as_table(database), "view": keep_as_view}
     if materialize not in stores:
         raise ValueError(f"materialize must be one of {sorted(stores)}")
-    store = stores[materialize]()
     names = list(mart_names(flavour) if names is None else names)
     for name in names:
         if flavour not in MARTS[name].flavours:
             raise ValueError(f"mart {name} does not exist in the {flavour.value} flavour")
-    layers = Layers(raw, flavour, store)
+    layers = Layers(raw, flavour, stores[materialize])
     built = layers.tables()
-    for name in names:
-        built[f"gold_{name}"] = store(f"gold_{name}", MARTS[name].build(layers), ())
+    built.update({f"gold_{name}": stored(layers, name) for name in names})
     return built

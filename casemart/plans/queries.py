@@ -114,7 +114,10 @@ def all_queries() -> dict[str, Query]:
             out[f"{name}_{flavour.value[0]}"] = on_layers(mart.build, flavour)
     out |= {
         "preview_provinces": on_layers(
-            lambda x: top_n(marts.resumen_provincia(x), "total_casos", 10, ["provincia_nombre"]), c
+            lambda x: top_n(
+                marts.stored(x, "resumen_provincia"), "total_casos", 10, ["provincia_nombre"]
+            ),
+            c,
         ),
         "profile_raw": on_raw(profile),
         "value_counts_raw": on_raw(lambda raw: value_counts(raw, CATEGORY_COLUMNS)),
