@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -33,12 +34,23 @@ def dedup_by_priority(
 def duplicate_audit(df: DataFrame, key: str | Sequence[str]) -> DataFrame:
     """Keys with more than one row: key columns, n_rows, differing_columns (comma separated).
 
-    A column differs inside a key if its smallest and largest value do; wrapped in a struct,
-    NULL takes part as the smallest value. Rows are folded before the shuffle and no list of
-    values is ever built, so a hot key stays one row per map task.
+    The repeated keys come from a pass over the key alone; only their rows are compared. A
+    column differs inside a key if its smallest and largest value do; wrapped in a struct, NULL
+    takes part as the smallest value.
+
+    The comparison groups by the key as one struct, so Spark does not tie it to the partitioning
+    of the join below it. That leaves AQE free to broadcast a short list of keys or to split a
+    hot one, and the rows of a hot key are folded to one per task before they meet.
     """
     keys = [key] if isinstance(key, str) else list(key)
     others = [c for c in df.columns if c not in keys]
+    repeated = (
+        df.groupBy(*keys)
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .filter(F.col("_n") > 1)
+        .select(*(F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)))
+    )
+    same_key = [F.col(k).eqNullSafe(F.col(f"_key{i}")) for i, k in enumerate(keys)]
     folded = [F.count(F.lit(1)).alias("n_rows")]
     for i, c in enumerate(others):
         folded += [F.min(F.struct(c)).alias(f"_lo{i}"), F.max(F.struct(c)).alias(f"_hi{i}")]
@@ -46,10 +58,10 @@ def duplicate_audit(df: DataFrame, key: str | Sequence[str]) -> DataFrame:
         F.when(F.col(f"_lo{i}") != F.col(f"_hi{i}"), F.lit(c)) for i, c in enumerate(others)
     ]
     return (
-        df.groupBy(*keys)
+        df.join(repeated, reduce(Column.__and__, same_key), "left_semi")
+        .groupBy(F.struct(*keys).alias("_key"))
         .agg(*folded)
-        .filter(F.col("n_rows") > 1)
-        .select(*keys, "n_rows", F.concat_ws(",", *marks).alias("differing_columns"))
+        .select("_key.*", "n_rows", F.concat_ws(",", *marks).alias("differing_columns"))
     )
 
 
