@@ -16,13 +16,28 @@ SETTINGS = {
 }
 
 
+def shuffle_partitions_for(input_bytes: int, bytes_per_task: int = 2 << 30) -> int:
+    """Initial shuffle partitions for an input of this size, at least Spark's default of 200.
+
+    AQE merges small partitions but never adds any, so the wide shuffle of the deduplication
+    needs enough of them from the start: about 51,000 for 100 TB.
+    """
+    return max(200, -(-input_bytes // bytes_per_task))
+
+
 def get_session(
     app: str = "casemart",
     master: str | None = None,
     shuffle_partitions: int | None = None,
+    input_bytes: int | None = None,
     extra: dict[str, str] | None = None,
 ) -> SparkSession:
-    """A session with `SETTINGS`; on a cluster leave `master` unset and let spark-submit decide."""
+    """A session with `SETTINGS`; on a cluster leave `master` unset and let spark-submit decide.
+
+    Give either the number of shuffle partitions or the size of the input to derive it from.
+    """
+    if input_bytes and not shuffle_partitions:
+        shuffle_partitions = shuffle_partitions_for(input_bytes)
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master).config("spark.ui.enabled", "false")

@@ -23,7 +23,8 @@ def ingest_new_files(
     default the file source ignores files much older than the newest it has seen; the age limit
     is lifted so that a late delivery of an old file is still loaded.
 
-    `max_bytes_per_batch` splits a large backlog into several commits.
+    For a single file pass its folder, and its name as `pattern`. `max_bytes_per_batch` splits a
+    large backlog into several commits.
     """
     reader = (
         spark.readStream.schema(RAW_SCHEMA)

@@ -2,6 +2,7 @@ import os
 
 import pytest
 
+from casemart.sources import create_raw_table
 from casemart.streaming import ingest_new_files
 from tests.test_sources import line, write_csv
 
@@ -70,3 +71,14 @@ def test_interrupted_batch_counts_once(spark, load, tmp_path):
     for name in os.listdir(commits):
         os.remove(commits / name)
     assert ids(load()) == ["1", "2"]
+
+
+def test_the_raw_table_can_sit_on_the_loaded_files(spark, load, tmp_path):
+    write_csv(tmp_path / "in" / "a.csv", line("1"), line("2"))
+    load()
+    table = create_raw_table(spark, "raw_on_loaded_files", str(tmp_path / "table"))
+    assert ids(table) == ["1", "2"]
+    write_csv(tmp_path / "in" / "b.csv", line("3"))
+    load()
+    spark.catalog.refreshTable("raw_on_loaded_files")
+    assert ids(spark.table("raw_on_loaded_files")) == ["1", "2", "3"]
