@@ -15,6 +15,10 @@ SETTINGS = {
     "spark.sql.files.maxPartitionBytes": "256m",
 }
 
+# On a cluster merged partitions should reach the advisory size, or written layers fall apart
+# into small files; on one machine using every core matters more.
+CLUSTER_SETTINGS = {"spark.sql.adaptive.coalescePartitions.parallelismFirst": "false"}
+
 
 def shuffle_partitions_for(input_bytes: int, bytes_per_task: int = 2 << 30) -> int:
     """Initial shuffle partitions for an input of this size, at least Spark's default of 200.
@@ -41,7 +45,7 @@ def get_session(
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master).config("spark.ui.enabled", "false")
-    settings = dict(SETTINGS)
+    settings = dict(SETTINGS) if master else {**SETTINGS, **CLUSTER_SETTINGS}
     if shuffle_partitions:
         settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     for key, value in {**settings, **(extra or {})}.items():

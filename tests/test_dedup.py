@@ -86,26 +86,12 @@ def test_duplicate_audit_matches_null_keys(spark):
     assert got == {(None, "a"): (2, "v"), ("x", None): (2, "")}
 
 
-def test_duplicate_audit_splits_a_hot_key(spark, hot, plan):
+def test_duplicate_audit_splits_a_hot_key(spark, hot, plan, shuffled_joins):
     """Shuffled join, hot key: AQE splits its partition and the rows are folded before the
     last shuffle."""
-    settings = {
-        "spark.sql.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
-        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
-    }
-    before = {k: spark.conf.get(k, None) for k in settings}
-    for k, v in settings.items():
-        spark.conf.set(k, v)
-    try:
-        out = duplicate_audit(hot.repartition(16), "k")
-        n = {r.k: r.n_rows for r in out.collect()}
-        text = plan(out).split("== Initial Plan ==")[0]
-    finally:
-        for k, v in before.items():
-            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    out = duplicate_audit(hot.repartition(16), "k")
+    n = {r.k: r.n_rows for r in out.collect()}
+    text = plan(out).split("== Initial Plan ==")[0]
     assert n["hot"] == 10_000
     assert "skew=true" in text and "partial_count" in text
 

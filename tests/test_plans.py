@@ -1,10 +1,11 @@
 """What the plans must look like to hold at scale."""
 
 import pytest
+from pyspark.sql import functions as F
 
-from casemart.plans import marts
+from casemart.plans import clean, marts
 from casemart.plans.queries import Workspace, all_queries
-from casemart.plans import clean
+from casemart.plans.star import fact_cases
 from casemart.schema import Flavour
 
 C, A = Flavour.CONFIRMED, Flavour.ALLCASES
@@ -61,8 +62,6 @@ def test_provinces_are_joined_after_folding(workspace, plan):
 
 
 def test_dimensions_are_broadcast_by_size_and_shuffled_beyond_it(spark, workspace, plan):
-    from casemart.plans.star import fact_cases
-
     x = workspace.layers[C]
     args = (x.silver, x.dim_departamento, x.dim_provincia, C)
     assert "BroadcastHashJoin" in plan(fact_cases(*args))
@@ -74,6 +73,28 @@ def test_dimensions_are_broadcast_by_size_and_shuffled_beyond_it(spark, workspac
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
 
 
+def test_a_hot_department_is_split_when_dimensions_outgrow_the_broadcast(
+    spark, workspace, plan, shuffled_joins
+):
+    """A third of all cases in one department: the shuffled join splits it and loses no case."""
+    x = workspace.layers[C]
+    ids = spark.range(30_000).repartition(16).withColumn("hot", F.col("id") % 3 == 0)
+    one = x.silver.filter("departamento is not null and residencia_provincia_id is not null")
+    like = one.limit(1).drop("id_caso", "departamento")
+    names = [r.departamento_nombre for r in x.dim_departamento.limit(5).collect()]
+    other = F.get(F.array(*(F.lit(n) for n in names)), (F.col("id") % len(names)).cast("int"))
+    silver = (
+        ids.withColumn("departamento", F.when(F.col("hot"), F.lit(names[0])).otherwise(other))
+        .withColumn("id_caso", F.col("id").cast("string"))
+        .crossJoin(F.broadcast(like))
+        .drop("hot", "id")
+    )
+    fact = fact_cases(silver, x.dim_departamento, x.dim_provincia, C)
+    assert len({r.id_caso for r in fact.collect()}) == fact.count() == 30_000
+    fact.collect()
+    assert "skew=true" in plan(fact).split("== Initial Plan ==")[0]
+
+
 def test_line_items_are_folded_before_the_join(spark, sf_dir, plan):
     text = plan(all_queries()["delay_orders_ship"](spark, sf_dir))
     assert text.index("Join") < text.index("partial_sum(datediff(cast(l_shipdate")
