@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame
 
 from casemart.operators import Check, check_unique, code_collisions, run_checks
@@ -21,11 +23,14 @@ CHECKS = [
 ]
 
 
+def named_as_checked(tables: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    """The tables with the department name under the one name the checks use."""
+    dim = tables["dim_departamento"].withColumnRenamed("departamento_nombre", "departamento")
+    return {**tables, "dim_departamento": dim}
+
+
 def quality_report(layers: Layers) -> DataFrame:
-    tables = layers.tables()
-    dim = tables["dim_departamento"]
-    tables["dim_departamento"] = dim.withColumnRenamed("departamento_nombre", "departamento")
-    return run_checks(tables, CHECKS)
+    return run_checks(named_as_checked(layers.tables()), CHECKS)
 
 
 def dim_key_check(layers: Layers) -> DataFrame:
