@@ -21,6 +21,8 @@ from casemart.schema import (
     YES,
 )
 
+RAW_INPUTS = ("orders", "customer", "nation", "region")
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -32,9 +34,7 @@ def raw_cases(spark: SparkSession, sf_dir: str, reports: str = "all") -> DataFra
     Second reports repeat a case with another funding source. They come out of the same scan
     as the first ones.
     """
-    orders, customer, nation, region = (
-        table(spark, sf_dir, n) for n in ("orders", "customer", "nation", "region")
-    )
+    orders, customer, nation, region = (table(spark, sf_dir, n) for n in RAW_INPUTS)
     base = (
         orders.join(customer, F.col("o_custkey") == F.col("c_custkey"))
         .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))

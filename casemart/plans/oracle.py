@@ -21,7 +21,8 @@ first_reports as (
     case st when 'F' then 'F' when 'O' then 'M' else 'NR' end as sexo,
     case when k % 997 = 1 then 'abc' when k % 499 = 2 then null
          else cast((k * 31) % 131 - 5 as varchar) end as edad,
-    case when k % 50 = 3 then 'Meses' when k % 503 = 4 then null else 'Años' end as "edad_años_meses",
+    case when k % 50 = 3 then 'Meses' when k % 503 = 4 then null
+         else 'Años' end as "edad_años_meses",
     case when k % 211 = 5 then null when k % 23 = 6 then rn else 'Argentina' end as residencia_pais_nombre,
     case when k % 101 = 7 then null else nn end as residencia_provincia_nombre,
     case when k % 103 = 8 then null else seg end as residencia_departamento_nombre,

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import hashlib
+import os
 import threading
 import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from casemart.functions import months_between
 from casemart.operators import (
     check_not_null,
     check_unique,
@@ -20,9 +22,8 @@ from casemart.operators import (
     value_counts,
 )
 from casemart.plans import checks, clean, feeds, marts, native
-from casemart.plans.fixture import raw_cases, table
+from casemart.plans.fixture import RAW_INPUTS, raw_cases, table
 from casemart.plans.layers import Layers, keep_under
-from casemart.functions import months_between
 from casemart.schema import CATEGORY_COLUMNS, Flavour
 from casemart.sources import shared_dir
 from casemart.streaming import ingest_new_files
@@ -37,15 +38,15 @@ class Workspace:
     """The written layers of one input folder in one session.
 
     Raw, silver, dimensions and fact are written once below the shared folder; each mart is then
-    a pruned, filtered scan of the fact instead of another run of the whole pipeline.
+    a pruned, filtered scan of the fact instead of another run of the whole pipeline. Input
+    files that changed on a mounted file system open a new workspace.
     """
 
-    _open: dict[tuple[str, str], Workspace] = {}
+    _open: dict[tuple, Workspace] = {}
     _lock = threading.Lock()
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
-        digest = hashlib.sha256(sf_dir.encode()).hexdigest()[:16]
-        self.spark, self.sf_dir = spark, sf_dir
+    def __init__(self, spark: SparkSession, sf_dir: str, version: tuple):
+        digest = hashlib.sha256(repr((sf_dir, version)).encode()).hexdigest()[:16]
         self.root = f"{shared_dir(spark)}/casemart/{spark.sparkContext.applicationId}/{digest}"
         raw = keep_under(self.root)("bronze_casos", raw_cases(spark, sf_dir), ())
         self.layers = {f: Layers(raw, f, keep_under(f"{self.root}/{f.value}")) for f in Flavour}
@@ -53,10 +54,13 @@ class Workspace:
 
     @classmethod
     def of(cls, spark: SparkSession, sf_dir: str) -> Workspace:
-        key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+        sf_dir = sf_dir.rstrip("/")
+        paths = [f"{sf_dir}/{name}.parquet" for name in RAW_INPUTS]
+        version = tuple(os.stat(p).st_mtime_ns for p in paths if os.path.exists(p))
+        key = (spark.sparkContext.applicationId, sf_dir, version)
         with cls._lock:
             if key not in cls._open:
-                cls._open[key] = cls(spark, key[1])
+                cls._open[key] = cls(spark, sf_dir, version)
             return cls._open[key]
 
 

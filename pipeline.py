@@ -1,7 +1,7 @@
 """The whole pipeline as one job: load new files, rebuild layers and marts, check the result.
 
     spark-submit pipeline.py --landing /landing --raw /lake/bronze_casos \
-        --checkpoint /lake/_checkpoints/bronze --database covid --flavour confirmed
+        --checkpoint /lake/_checkpoints/bronze --database cases --flavour confirmed
 """
 
 from __future__ import annotations

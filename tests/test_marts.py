@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from casemart.plans import clean, feeds, marts
 from casemart.plans.checks import CHECKS, dim_key_check, quality_report
-from casemart.plans.fixture import raw_cases
+from casemart.plans.fixture import RAW_INPUTS, raw_cases
 from casemart.plans.layers import Layers, keep_under
+from casemart.plans.queries import Workspace
 from casemart.schema import RAW_COLUMNS, RAW_SCHEMA, Flavour
 
 C, A = Flavour.CONFIRMED, Flavour.ALLCASES
@@ -276,3 +277,16 @@ def test_first_and_second_reports_make_up_the_raw_cases(spark, sf_dir):
     parts = raw_cases(spark, sf_dir, "first").unionByName(raw_cases(spark, sf_dir, "second"))
     assert whole.exceptAll(parts).count() == parts.exceptAll(whole).count() == 0
     assert clean.clean_cases(whole, A).columns == clean.ALLCASES_COLUMNS
+
+
+def test_changed_input_files_open_a_new_workspace(spark, sf_dir, tmp_path):
+    for name in RAW_INPUTS:
+        frame = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+        frame.write.parquet(str(tmp_path / f"{name}.parquet"))
+    first = Workspace.of(spark, str(tmp_path))
+    assert Workspace.of(spark, f"{tmp_path}/") is first
+    n = first.raw.count()
+    few = spark.read.parquet(f"{sf_dir}/orders.parquet").filter("o_orderkey < 100")
+    few.write.mode("overwrite").parquet(str(tmp_path / "orders.parquet"))
+    second = Workspace.of(spark, str(tmp_path))
+    assert second is not first and second.raw.count() < n == first.raw.count()
