@@ -2,32 +2,18 @@
 
 from __future__ import annotations
 
-import tempfile
-import threading
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-_local_dirs: dict[str, str] = {}
-_lock = threading.Lock()
-
-
 def shared_dir(spark: SparkSession) -> str:
-    """Folder for written intermediate results that every executor can reach.
+    """Folder for written intermediate results that the driver and every executor can reach.
 
-    The cluster names it in `spark.checkpoint.dir`. Only a local master may fall back to a
-    folder of its own; elsewhere a missing setting is an error.
+    The cluster names it in `spark.checkpoint.dir`. Where that is unset it lies in the
+    warehouse, which holds tables and so is shared as well; never in a machine's own folder.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    with _lock:
-        if context.applicationId not in _local_dirs:
-            _local_dirs[context.applicationId] = tempfile.mkdtemp(prefix="casemart-")
-        return _local_dirs[context.applicationId]
+    return (named or f"{spark.conf.get('spark.sql.warehouse.dir')}/_work").rstrip("/")
 
 
 def write_and_read(df: DataFrame, path: str, sort_by: Sequence[str] = ()) -> DataFrame:
