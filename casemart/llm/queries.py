@@ -6,7 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from casemart.llm import chat, licences, mixing, neighbours, packing, simhash
+from casemart.llm import (
+    chat,
+    jaccard,
+    licences,
+    mixing,
+    neighbours,
+    packing,
+    simhash,
+    suffixes,
+)
 from casemart.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,5 +39,7 @@ def llm_queries() -> dict[str, Query]:
         "op4_fingerprints": on("documents", simhash.digest),
         "op5_source_mixing": on("documents", mixing.digest),
         "op6_nearest_neighbours": on("embeddings", neighbours.digest),
+        "op8_jaccard_join": on("documents", jaccard.digest),
         "op9_packing": on("documents", lambda docs: packing.digest(docs, tokenizer_path())),
+        "op10_suffix_dedup": on("documents", suffixes.digest),
     }
