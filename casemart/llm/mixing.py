@@ -17,6 +17,7 @@ one row per source comes to the driver, and more than `MAX_SOURCES` raise an err
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
@@ -69,11 +70,12 @@ def water_fill(
 
 
 def sized(docs: DataFrame) -> DataFrame:
-    """(doc_id, source, size) of every row, and its place in the source's order, as a table."""
+    """(doc_id, source, size, hash of the text) of every row, as a table."""
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         "source",
         F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
+        F.xxhash64("text").alias("hash"),
     )
     return written(rows, "mix-sizes")
 
@@ -222,14 +224,14 @@ def streams(sizes: DataFrame, sources: Sequence[Source]) -> DataFrame:
     )
     inside = (
         Window.partitionBy("source_index", "bucket")
-        .orderBy("doc_id", "size")
+        .orderBy("doc_id", "size", "hash")
         .rowsBetween(Window.unboundedPreceding, 0)
     )
     placed = rows.withColumn("upto", F.sum("size").over(inside)).join(
         before, ["source_index", "bucket"]
     )
     return placed.select(
-        "doc_id", "source", "source_index", "size",
+        "doc_id", "source", "source_index", "size", "hash",
         (F.col("before") + F.col("upto") - F.col("size")).alias("at"),
     )
 
@@ -260,19 +262,69 @@ def mix(
             )
         ),
     ).select(
-        "doc_id", "source", "source_index", "size", "at", "block",
+        "doc_id", "source", "source_index", "size", "hash", "at", "block",
         F.greatest(F.lit(0).cast("long"), F.col("block") * block_words - F.col("at")).alias(
             "start"
         ),
         F.least(F.col("size"), (F.col("block") + 1) * block_words - F.col("at")).alias("end"),
     )
     pieces = slots.join(spans, ["source_index", "block"]).select(
-        "shard", "slot", "pass", "source", "source_index", "block", "doc_id", "size", "at",
+        "shard", "slot", "pass", "source", "source_index", "block", "doc_id", "size", "hash", "at",
         "start", (F.col("end") - F.col("start")).alias("length"),
     )
     return pieces, sources
 
 
+def mixed_texts(docs: DataFrame, floor: float = 1.0, **options) -> DataFrame:
+    """The mix as documents: for each pass that takes of a document, the text of what it takes.
+
+    Rows of `docs` with all columns; a pass that takes the whole document has its text unchanged,
+    any other the taken word runs in order, each with the white space after it. With floor 1 every
+    document with words occurs whole at least once. n_chars, where there is one, is counted again.
+    """
+    docs = docs.dropDuplicates(["doc_id", "text"])
+    pieces, _ = mix(sized(docs), floor=floor, **options)
+    runs = pieces.groupBy("doc_id", "hash", "at", "size", "pass").agg(
+        F.sort_array(F.collect_list(F.struct("start", "length"))).alias("runs")
+    )
+    columns = docs.columns
+    keyed = docs.select(
+        F.col("doc_id").cast("long").alias("_id"), F.xxhash64("text").alias("_hash"), *columns
+    )
+    runs = runs.select(
+        F.col("doc_id").alias("_id"), F.col("hash").alias("_hash"), F.col("size").alias("_size"),
+        F.col("runs").alias("_runs"),
+    )
+    joined = keyed.join(
+        runs, keyed["_id"].eqNullSafe(runs["_id"]) & (keyed["_hash"] == runs["_hash"])
+    ).select("text", "_size", "_runs", *(c for c in columns if c != "text"))
+    kinds = dict(joined.dtypes)
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [
+                taken_text(text, size, [(r["start"], r["length"]) for r in runs])
+                for text, size, runs in zip(*(batch.column(i).to_pylist() for i in range(3)))
+            ]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(texts, pa.string()), *batch.columns[3:]],
+                names=["text", *(c for c in columns if c != "text")],
+            )
+
+    schema = ", ".join(f"`{c}` {kinds[c]}" for c in ["text", *(c for c in columns if c != "text")])
+    out = joined.mapInArrow(cut, schema)
+    if "n_chars" in columns:
+        out = out.withColumn("n_chars", F.length("text").cast(kinds["n_chars"]))
+    return out.select(*columns)
+
+
+def taken_text(text: str, size: int, runs: list[tuple[int, int]]) -> str:
+    if sum(n for _, n in runs) == size:
+        return text
+    starts = [m.start() for m in re.finditer(WORD, text)] + [len(text)]
+    return "".join(text[starts[a] : starts[a + n]] for a, n in runs)
+
+
 def digest(docs: DataFrame) -> DataFrame:
     """How many words the mix takes of every document, beside its source's size and target."""
     sizes = sized(docs)
@@ -285,7 +337,7 @@ def digest(docs: DataFrame) -> DataFrame:
         "doc_id", "source", "size", F.coalesce("taken", F.lit(0).cast("long")).alias("taken")
     )
     rows = with_words.unionByName(
-        sizes.filter("size = 0").withColumn("taken", F.lit(0).cast("long"))
+        sizes.filter("size = 0").drop("hash").withColumn("taken", F.lit(0).cast("long"))
     )
     plan = docs.sparkSession.createDataFrame(
         [(s.name, s.size, float(s.target)) for s in sources],

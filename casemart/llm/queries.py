@@ -9,10 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from casemart.llm import (
     chat,
     jaccard,
+    language,
     licences,
     mixing,
     neighbours,
     packing,
+    quality,
     simhash,
     suffixes,
 )
@@ -35,10 +37,14 @@ def on(name: str, plan: Callable[[DataFrame], DataFrame]) -> Query:
 def llm_queries() -> dict[str, Query]:
     return {
         "op1_license_scan": on("documents", licences.digest),
+        "op2_quality": lambda spark, sf_dir: quality.digest(
+            table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+        ),
         "op3_chat_format": on("conversations", chat.digest),
         "op4_fingerprints": on("documents", simhash.digest),
         "op5_source_mixing": on("documents", mixing.digest),
         "op6_nearest_neighbours": on("embeddings", neighbours.digest),
+        "op7_language_id": on("documents", language.digest),
         "op8_jaccard_join": on("documents", jaccard.digest),
         "op9_packing": on("documents", lambda docs: packing.digest(docs, tokenizer_path())),
         "op10_suffix_dedup": on("documents", suffixes.digest),
