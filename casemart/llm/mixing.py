@@ -329,11 +329,10 @@ def digest(docs: DataFrame) -> DataFrame:
     """How many words the mix takes of every document, beside its source's size and target."""
     sizes = sized(docs)
     pieces, sources = mix(sizes)
-    taken = pieces.groupBy("source_index", "at", "doc_id", "size").agg(
-        F.sum("length").alias("taken")
-    )
+    # A document's place in its source's stream is its own, also where its id is null or shared.
+    taken = pieces.groupBy("source_index", "at").agg(F.sum("length").alias("taken"))
     placed = streams(sizes, sources)
-    with_words = placed.join(taken, ["source_index", "at", "doc_id", "size"], "left").select(
+    with_words = placed.join(taken, ["source_index", "at"], "left").select(
         "doc_id", "source", "size", F.coalesce("taken", F.lit(0).cast("long")).alias("taken")
     )
     rows = with_words.unionByName(

@@ -317,6 +317,11 @@ def _cut_rows(doc_ids, groups, encoded, with_ids) -> pa.RecordBatch:
     return pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
 
 
+def widened(ids: bytes, size: int) -> np.ndarray:
+    """Ids as uint32; they travel as uint16 where that holds them."""
+    return np.frombuffer(ids, dtype="<u2" if len(ids) == 2 * size else "<u4").astype("<u4")
+
+
 def pack_group(part: pa.Table) -> pa.Table:
     """Sequences of one group, numbered within it; ids of pieces are kept where they are there."""
     part = part.sort_by([("doc_id", "ascending"), ("start", "ascending"), ("crc", "ascending")])
@@ -330,13 +335,12 @@ def pack_group(part: pa.Table) -> pa.Table:
         "length": full["length"].to_pylist(), "ids_crc32": full["crc"].to_pylist(),
         "doc_tokens": full["doc_tokens"].to_pylist(),
         "sequence_id": list(range(base, base + n)), "offset": [0] * n,
-        "ids": full["ids"].to_pylist(),
+        "ids": [x and widened(x, CAPACITY).tobytes() for x in full["ids"].to_pylist()],
     }
     doc_ids, starts = rest["doc_id"].to_pylist(), rest["start"].to_pylist()
     tokens, ids, sizes = rest["doc_tokens"].to_pylist(), rest["ids"].to_pylist(), lengths[~whole]
     for item, start, size, sequence, offset in pack(sizes):
-        kind = "<u2" if len(ids[item]) == 2 * sizes[item] else "<u4"
-        piece = np.frombuffer(ids[item], dtype=kind)[start : start + size].astype("<u4")
+        piece = widened(ids[item], sizes[item])[start : start + size]
         for name, value in zip(
             columns,
             (doc_ids[item], starts[item] + start, size, zlib.crc32(piece.tobytes()),
