@@ -97,7 +97,8 @@ class Anchors:
         digest = mix((sums[lo + count - 1 + length] - sums[lo]) * down[lo])
         digest = mix(digest + back.astype(np.uint64) * ODD + count.astype(np.uint64) * MIX_A)
         return {"text": text[lo].astype(np.int64), "lo": lo, "windows": count, "back": back,
-                "key": grams[at[lo]], "digest": digest}
+                # Smallest hashes crowd at the low end: scrambled again, keys fill all 64 bits.
+                "key": mix(grams[at[lo]] + ODD), "digest": digest}
 
     @staticmethod
     def _smallest(grams: np.ndarray, width: int, windows: int) -> np.ndarray:
@@ -459,9 +460,14 @@ def repeats(
         ),
         "fragments",
     )
-    firsts = marked.filter("stays").dropDuplicates(["anchor", "digest"])
-    several_of = firsts.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    strings = written(firsts.join(several_of, "anchor").drop("stays", "windows"), "strings")
+    firsts = marked.filter("stays").select("doc", "version", "lo", "back", "anchor", "digest")
+    several_of = (
+        firsts.groupBy("anchor")
+        .agg(F.min("digest").alias("a"), F.max("digest").alias("b"), F.count("*").alias("n"))
+        .filter("a < b")
+        .select("anchor", "n")
+    )
+    strings = written(firsts.join(several_of, "anchor").distinct(), "strings")
     texts = fragment_bytes(rows, several, strings, length, gram)
     filled = strings.join(texts, ["doc", "version", "lo", "digest"])
     out = marked.filter("not stays").select("doc", "version", "lo", "windows")
