@@ -35,8 +35,9 @@ def duplicate_audit(df: DataFrame, key: str | Sequence[str]) -> DataFrame:
     """Keys with more than one row: key columns, n_rows, differing_columns (comma separated).
 
     The repeated keys come from a pass over the key alone; only their rows are compared. A
-    column differs inside a key if its smallest and largest value do; wrapped in a struct, NULL
-    takes part as the smallest value.
+    column differs inside a key if its smallest and largest value do, or if only some rows have
+    one. Text and nested values are compared by a 64-bit hash: all buffers are then of fixed
+    width, and Spark folds them in a hash table instead of sorting every row.
 
     The comparison groups by the key as one struct, so Spark does not tie it to the partitioning
     of the join below it. That leaves AQE free to broadcast a short list of keys or to split a
@@ -51,12 +52,20 @@ def duplicate_audit(df: DataFrame, key: str | Sequence[str]) -> DataFrame:
         .select(*(F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)))
     )
     same_key = [F.col(k).eqNullSafe(F.col(f"_key{i}")) for i, k in enumerate(keys)]
+    fixed = {"boolean", "tinyint", "smallint", "int", "bigint", "float", "double", "date",
+             "timestamp", "timestamp_ntz"}
+    kinds = dict(df.dtypes)
     folded = [F.count(F.lit(1)).alias("n_rows")]
+    marks = []
     for i, c in enumerate(others):
-        folded += [F.min(F.struct(c)).alias(f"_lo{i}"), F.max(F.struct(c)).alias(f"_hi{i}")]
-    marks = [
-        F.when(F.col(f"_lo{i}") != F.col(f"_hi{i}"), F.lit(c)) for i, c in enumerate(others)
-    ]
+        plain = kinds[c] in fixed or kinds[c].startswith("decimal")
+        value = F.col(c) if plain else F.when(F.col(c).isNotNull(), F.xxhash64(c))
+        folded += [F.min(value).alias(f"_lo{i}"), F.max(value).alias(f"_hi{i}"),
+                   F.count(c).alias(f"_some{i}")]
+        differs = (F.col(f"_lo{i}") != F.col(f"_hi{i}")) | (
+            F.col(f"_some{i}").between(1, F.col("n_rows") - 1)
+        )
+        marks.append(F.when(differs, F.lit(c)))
     return (
         df.join(repeated, reduce(Column.__and__, same_key), "left_semi")
         .groupBy(F.struct(*keys).alias("_key"))

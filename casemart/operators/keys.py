@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from casemart.sources import shared_dir, write_and_read
+
 
 def distinct_rows(df: DataFrame, columns: Sequence[str], required: str) -> DataFrame:
     """Distinct `columns` of the rows that have a value in `required`."""
@@ -27,22 +30,24 @@ def any_value_per_group(df: DataFrame, keys: Sequence[str], column: str) -> Data
 def with_surrogate_key(df: DataFrame, order_cols: Sequence[str], name: str) -> DataFrame:
     """Number the rows 1..n in the order of `order_cols`; the same in every run.
 
-    The rank is taken inside each value of the first order column and shifted by the number of
-    rows before that value, so no task orders the whole frame. `df` is read twice: pass a
-    written frame if it is costly to derive.
+    Rows are cut into ranges of all order columns together, so one frequent lead value is spread
+    like any other. Each range is numbered by itself and shifted by the rows of the ranges before
+    it; only those counts, one per range, meet in one task. The ranges are written to the shared
+    folder first: their borders come from a sample and must not change between the two reads.
     """
-    lead, rest = order_cols[0], list(order_cols[1:])
-    sizes = df.groupBy(F.col(lead).alias("_lead")).agg(F.count(F.lit(1)).alias("_size"))
-    before = Window.orderBy(F.col("_lead").asc()).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    offsets = sizes.select(
-        "_lead", (F.sum("_size").over(before) - F.col("_size")).alias("_offset")
+    spark = df.sparkSession
+    order = [F.col(c).asc() for c in order_cols]
+    ranges = write_and_read(
+        df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()),
+        f"{shared_dir(spark)}/keys/{uuid.uuid4().hex}",
     )
-    inside = Window.partitionBy(lead).orderBy(*(F.col(c).asc() for c in rest or [lead]))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    sizes = ranges.groupBy(F.col("_range").alias("_part")).agg(F.count(F.lit(1)).alias("_size"))
+    offsets = sizes.select("_part", (F.sum("_size").over(before) - F.col("_size")).alias("_offset"))
+    inside = Window.partitionBy("_range").orderBy(*order)
     return (
-        df.withColumn("_rank", F.row_number().over(inside))
-        .join(offsets, F.col(lead).eqNullSafe(F.col("_lead")))
+        ranges.withColumn("_rank", F.row_number().over(inside))
+        .join(offsets, F.col("_range") == F.col("_part"))
         .withColumn(name, F.col("_offset") + F.col("_rank"))
-        .drop("_rank", "_lead", "_offset")
+        .drop("_rank", "_range", "_part", "_offset")
     )

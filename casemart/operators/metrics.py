@@ -131,19 +131,19 @@ def delay_by_group(
 
 
 def with_share(
-    groups: DataFrame, part: str, total: DataFrame, name: str, digits: int
+    groups: DataFrame, part: str, name: str, digits: int, of: str | None = None
 ) -> DataFrame:
-    """Add `part` as a percentage of the single value in `total`.
+    """Add `part` as a percentage of the sum of `of` (by default `part`) over all groups.
 
-    The total is a scalar subquery: it is computed by the executors next to the groups, with
-    neither a driver round trip nor a window that would gather all groups in one task.
+    The total sums the grouped rows in a scalar subquery, so Spark reuses the groups' exchange:
+    the input is scanned once, there is no driver round trip and no window over all groups.
     """
-    return groups.withColumn(name, percent(F.col(part), total.scalar(), digits))
+    total = groups.agg(F.sum(of or part)).scalar()
+    return groups.withColumn(name, percent(F.col(part), total, digits))
 
 
 def share_of_total(
     df: DataFrame, keys: Sequence[str], digits: int = 2, n: str = "n", name: str = "pct_of_total"
 ) -> DataFrame:
     """Rows per group and their share of all rows."""
-    total = df.agg(F.count(F.lit(1)))
-    return with_share(group_counts(df, keys, n), n, total, name, digits)
+    return with_share(group_counts(df, keys, n), n, name, digits)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 
 def top_n(df: DataFrame, by: str, n: int = 20, ties: Sequence[str] = ()) -> DataFrame:
@@ -35,16 +35,17 @@ def matrix(
     """Cross table of sums with 0 for gaps, heaviest row first.
 
     `values` fixes the result columns, so the schema does not depend on the data and Spark need
-    not look for the values first. `total` sums the whole row, listed in `values` or not.
+    not look for the values first. `total` sums the whole row, listed in `values` or not. Cells
+    are folded first, so a heavy row is a few partial sums per task.
     """
-    whole_row = F.sum(measure).over(Window.partitionBy(row))
+    cells = df.groupBy(F.col(row), column.alias("_column")).agg(F.sum(measure).alias("_cell"))
+    columns = [
+        F.coalesce(F.sum(F.when(F.col("_column") == v, F.col("_cell"))), F.lit(0)).alias(v)
+        for v in values
+    ]
     return (
-        df.select(row, column.alias("_column"), measure, whole_row.alias("_total"))
-        .groupBy(row, "_total")
-        .pivot("_column", list(values))
-        .agg(F.sum(measure))
-        .fillna(0, subset=list(values))
-        .withColumnRenamed("_total", total)
+        cells.groupBy(row)
+        .agg(F.sum("_cell").alias(total), *columns)
         .orderBy(F.desc(total), row)
     )
 

@@ -106,6 +106,21 @@ def rename_cases(cases: DataFrame) -> DataFrame:
     return cases.select(*(F.col(c).alias(RENAMES.get(c, c)) for c in cases.columns))
 
 
-def silver_cases(raw: DataFrame, flavour: Flavour) -> DataFrame:
-    cases = dedup_cases(clean_cases(raw, flavour), flavour)
+def best_reports(raw: DataFrame) -> DataFrame:
+    """The raw report that stands for each case, in either flavour: the publicly funded one.
+
+    Both flavours prefer the same report, so it is picked once on the raw text and cleaned twice:
+    one wide shuffle instead of two.
+    """
+    preferred = F.coalesce(F.col(FUNDING) == F.lit(FUNDING_PREFERRED), F.lit(False))
+    return dedup_by_priority(raw, "id_evento_caso", [preferred.desc()])
+
+
+def typed_cases(reports: DataFrame, flavour: Flavour) -> DataFrame:
+    """The cleaned table from one report per case."""
+    cases = clean_cases(reports, flavour)
     return rename_cases(cases) if flavour == Flavour.CONFIRMED else cases
+
+
+def silver_cases(raw: DataFrame, flavour: Flavour) -> DataFrame:
+    return typed_cases(best_reports(raw), flavour)

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame, functions as F
 
 from casemart.functions import band_start, month_label
@@ -87,12 +85,15 @@ def monthly_rate(layers: Layers) -> DataFrame:
     return mart.dropna(subset=["mes"]).orderBy("mes")
 
 
-def province_month_matrix(layers: Layers, months: Sequence[str]) -> DataFrame:
-    """Provinces by months with 0 for gaps; `total_casos` sums every month, listed or not."""
+def province_month_matrix(layers: Layers) -> DataFrame:
+    """Provinces by the months that occur, with 0 for gaps.
+
+    The months are read from the stored mart: one value per calendar month with a case.
+    """
     cells = stored(layers, "casos_provincia_mes").dropna(subset=["mes", "provincia_nombre"])
-    return matrix(
-        cells, "provincia_nombre", month_label("mes"), months, "total_casos", "total_casos"
-    )
+    label = month_label("mes")
+    months = sorted(r[0] for r in cells.select(label).distinct().collect())
+    return matrix(cells, "provincia_nombre", label, months, "total_casos", "total_casos")
 
 
 def matrix_bounds(layers: Layers) -> DataFrame:

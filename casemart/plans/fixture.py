@@ -91,7 +91,10 @@ def raw_cases(spark: SparkSession, sf_dir: str, reports: str = "all") -> DataFra
         "fecha_inicio_sintomas": pick(
             (has(19, 9), None), (has(991, 10), "2020-13-40"), other=F.col("d0").cast("string")
         ),
-        "fecha_apertura": later(9),
+        # A short form of the date: only the lenient rule accepts it.
+        "fecha_apertura": pick(
+            (has(97, 16), F.date_format(later(9).cast("date"), "yyyy-M-d")), other=later(9)
+        ),
         "sepi_apertura": (k % 53).cast("string"),
         "fecha_internacion": pick((has(6, 0), later(13)), other=None),
         "cuidado_intensivo": pick((has(12, 0), YES), (has(307, 11), unclear), other=NO),
@@ -126,3 +129,15 @@ def raw_cases(spark: SparkSession, sf_dir: str, reports: str = "all") -> DataFra
     return base.select(
         *(columns[c].alias(c) for c in RAW_COLUMNS)
     )
+
+
+def torn_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cases with a line break inside a field: as CSV each is two lines that do not fit."""
+    torn = table(spark, sf_dir, "orders").filter("o_orderkey % 1009 = 19")
+    values = {
+        "id_evento_caso": F.concat(F.lit("x"), F.col("o_orderkey").cast("string")),
+        "sexo": F.lit("a\nb"),
+    }
+    return torn.select(
+        *(values.get(c, F.lit(None).cast("string")).alias(c) for c in RAW_COLUMNS)
+    )

@@ -42,11 +42,21 @@ def keep_under(root: str) -> Store:
 
 
 class Layers:
-    """raw -> silver -> dimensions -> fact. A layer is built when first asked for."""
-
-    def __init__(self, raw: DataFrame, flavour: Flavour, store: Store = keep_lazy):
+    """raw -> silver -> dimensions -> fact. A layer is built when first asked for.
+
+    `reports` gives the one raw report per case; both flavours of a run may share its result.
+    """
+
+    def __init__(
+        self,
+        raw: DataFrame,
+        flavour: Flavour,
+        store: Store = keep_lazy,
+        reports: Callable[[DataFrame], DataFrame] = clean.best_reports,
+    ):
         self.raw = raw
         self.flavour = flavour
+        self._reports = reports
         self._store = store
         self._built: dict[str, DataFrame] = {}
         self._lock = threading.RLock()
@@ -62,7 +72,9 @@ class Layers:
 
     @property
     def silver(self) -> DataFrame:
-        return self.keep("silver_casos", lambda: clean.silver_cases(self.raw, self.flavour))
+        return self.keep(
+            "silver_casos", lambda: clean.typed_cases(self._reports(self.raw), self.flavour)
+        )
 
     @property
     def dim_provincia(self) -> DataFrame:

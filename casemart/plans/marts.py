@@ -5,7 +5,7 @@ Each mart is one narrow scan of the fact table followed by sums and counts per g
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -55,9 +55,9 @@ def cases_in_scope(layers: Layers) -> DataFrame:
     return fact.filter(F.col("clasificacion") == CONFIRMED) if _confirmed(layers) else fact
 
 
-def _summary(layers: Layers, flags: str, **options) -> Summary:
+def _summary(layers: Layers, flags: Sequence[str], **options) -> Summary:
     """Counts of the named flags and the death rate, in the flavour's names and NULL rules."""
-    picked = {name: FLAGS[name] for name in flags.split()}
+    picked = {name: FLAGS[name] for name in flags}
     rate = "tasa_mortalidad_pct" if _confirmed(layers) else "tasa_letalidad"
     options.setdefault("rates", {rate: "total_fallecidos"})
     return Summary(flags=picked, null_as_zero=not _confirmed(layers), **options)
@@ -68,14 +68,23 @@ def _deaths(cases: DataFrame) -> DataFrame:
 
 
 def mortalidad_por_sexo(layers: Layers) -> DataFrame:
-    flags = "total_fallecidos total_uti total_arm"
-    counted = flags.split()
+    flags = ["total_fallecidos", "total_uti", "total_arm"]
+    counted = flags
     if _confirmed(layers):
         names = ["tasa_mortalidad_pct", "tasa_uti_pct", "tasa_arm_pct"]
         columns = None
     else:
         names = ["tasa_letalidad", "tasa_uti", "tasa_arm"]
-        columns = ["total_casos", *(c for pair in zip(counted, names) for c in pair)]
+        # Columns in order.
+        columns = [
+            "total_casos",
+            "total_fallecidos",
+            "tasa_letalidad",
+            "total_uti",
+            "tasa_uti",
+            "total_arm",
+            "tasa_arm",
+        ]
     summary = _summary(layers, flags, rates=dict(zip(names, counted)), columns=columns)
     return summarise(cases_in_scope(layers), ["sexo"], summary)
 
@@ -87,9 +96,8 @@ def casos_por_pais(layers: Layers) -> DataFrame:
         counts = group_counts(layers.fact, ["pais"], "total_casos")
         labelled = counts.withColumn("pais", label_null("pais", NO_DATA))
         return labelled.orderBy(F.desc("total_casos"), "pais")
-    counts = summarise(layers.fact, ["pais"], _summary(layers, "total_fallecidos", rates={}))
-    everything = layers.fact.agg(F.count(F.lit(1)))
-    return with_share(counts, "total_casos", everything, "pct_del_total", 4)
+    counts = summarise(layers.fact, ["pais"], _summary(layers, ["total_fallecidos"], rates={}))
+    return with_share(counts, "total_casos", "pct_del_total", 4)
 
 
 def kpis_generales(layers: Layers) -> DataFrame:
@@ -144,9 +152,9 @@ def casos_por_dia(layers: Layers) -> DataFrame:
     """Days without a case have no row; cases without an onset date are left out."""
     dated = cases_in_scope(layers).filter(F.col(ONSET).isNotNull())
     if _confirmed(layers):
-        summary = _summary(layers, "total_fallecidos total_uti", rates={})
+        summary = _summary(layers, ["total_fallecidos", "total_uti"], rates={})
         return summarise(dated, [ONSET], summary).orderBy(ONSET)
-    days = summarise(dated, [ONSET], _summary(layers, "total_fallecidos", rates={}))
+    days = summarise(dated, [ONSET], _summary(layers, ["total_fallecidos"], rates={}))
     return days.select(
         F.col(ONSET).alias("fecha"),
         F.col("total_casos").alias("casos"),
@@ -170,16 +178,16 @@ def resumen_provincia(layers: Layers) -> DataFrame:
     delay = "promedio_dias_diagnostico"
     means = {delay: DELAY_MEANS[delay]}
     if _confirmed(layers):
-        flags = "total_fallecidos total_uti total_arm"
+        flags = ["total_fallecidos", "total_uti", "total_arm"]
         return _by_province(layers, _summary(layers, flags, means=means, mean_digits=1))
     columns = ["total_casos", "total_fallecidos", "tasa_letalidad", "total_uti", delay]
-    summary = _summary(layers, "total_fallecidos total_uti", means=means, columns=columns)
+    summary = _summary(layers, ["total_fallecidos", "total_uti"], means=means, columns=columns)
     return _by_province(layers, summary).orderBy(F.desc("total_casos"), "provincia")
 
 
 def mortalidad_por_edad(layers: Layers) -> DataFrame:
     """Nine bands without unknown ages, or open decades with a label for them."""
-    cases, flags = cases_in_scope(layers), "total_fallecidos total_uti"
+    cases, flags = cases_in_scope(layers), ["total_fallecidos", "total_uti"]
     if _confirmed(layers):
         band = "franja_etaria"
         cases = cases.filter(F.col("edad_anios").isNotNull())
@@ -202,7 +210,7 @@ def demoras_sistema_salud(layers: Layers) -> DataFrame:
 
 
 def publico_vs_privado(layers: Layers) -> DataFrame:
-    funding, flags = "origen_financiamiento", "total_fallecidos total_uti"
+    funding, flags = "origen_financiamiento", ["total_fallecidos", "total_uti"]
     cases = cases_in_scope(layers)
     if _confirmed(layers):
         known = cases.filter(F.col(funding).isNotNull())
@@ -217,7 +225,7 @@ def _by_care(layers: Layers, flag: str) -> DataFrame:
     cases = cases_in_scope(layers)
     if not _confirmed(layers):
         cases = cases.filter(F.col(flag).isNotNull())
-    return summarise(cases, [flag], _summary(layers, "total_fallecidos"))
+    return summarise(cases, [flag], _summary(layers, ["total_fallecidos"]))
 
 
 def efectividad_uti(layers: Layers) -> DataFrame:
@@ -233,8 +241,7 @@ def composicion_fallecidos_sexo(layers: Layers) -> DataFrame:
     groups = group_counts(deaths, ["sexo"], "total_fallecidos")
     if not _confirmed(layers):
         return groups
-    total = deaths.agg(F.count(F.lit(1)))
-    return with_share(groups, "total_fallecidos", total, "pct_del_total", 1)
+    return with_share(groups, "total_fallecidos", "pct_del_total", 1)
 
 
 def edad_fallecidos(layers: Layers) -> DataFrame:
@@ -245,7 +252,7 @@ def edad_fallecidos(layers: Layers) -> DataFrame:
 def letalidad_mensual(layers: Layers) -> DataFrame:
     """By month of onset; cases without a date form the NULL month."""
     cases = cases_in_scope(layers).withColumn("mes", month_of(ONSET))
-    return summarise(cases, ["mes"], _summary(layers, "total_fallecidos")).orderBy("mes")
+    return summarise(cases, ["mes"], _summary(layers, ["total_fallecidos"])).orderBy("mes")
 
 
 def casos_provincia_mes(layers: Layers) -> DataFrame:
@@ -267,9 +274,8 @@ def piramide_edad(layers: Layers) -> DataFrame:
         ["franja_etaria"],
         Summary(flags={"total_fallecidos": "fallecido"}, null_as_zero=True),
     )
-    bands = with_share(bands, "total_casos", known.agg(F.count(F.lit(1))), "pct_casos", 2)
-    deaths = known.agg(F.count_if("fallecido"))
-    return with_share(bands, "total_fallecidos", deaths, "pct_fallecidos", 2)
+    bands = with_share(bands, "total_casos", "pct_casos", 2)
+    return with_share(bands, "total_fallecidos", "pct_fallecidos", 2)
 
 
 @dataclass(frozen=True)

@@ -29,7 +29,8 @@ first_reports as (
     nn as carga_provincia_nombre,
     case when k % 19 = 9 then null when k % 991 = 10 then '2020-13-40'
          else cast(d0 as varchar) end as fecha_inicio_sintomas,
-    cast(d0 + cast(k % 9 as int) as varchar) as fecha_apertura,
+    case when k % 97 = 16 then strftime(d0 + cast(k % 9 as int), '%Y-%-m-%-d')
+         else cast(d0 + cast(k % 9 as int) as varchar) end as fecha_apertura,
     cast(k % 53 as varchar) as sepi_apertura,
     case when k % 6 = 0 then cast(d0 + cast(k % 13 as int) as varchar) end as fecha_internacion,
     case when k % 12 = 0 then 'SI' when k % 307 = 11 then 'SIN ESPECIFICAR' else 'NO' end as cuidado_intensivo,
@@ -60,6 +61,15 @@ raw as (
 )
 """
 
+def _strict(column: str) -> str:
+    """A date only in its full form; `try_cast` alone is the lenient rule."""
+    full = "^[0-9]{4}-[0-9]{2}-[0-9]{2}$"
+    return (
+        f"case when regexp_matches({column}, '{full}') then try_cast({column} as date) end"
+        f" as {column}"
+    )
+
+
 AGE = """case "edad_años_meses" when 'Meses' then 0
          when 'Años' then (case when try_cast(edad as int) >= 0 and try_cast(edad as int) <= 120
                            then try_cast(edad as int) end) end"""
@@ -68,19 +78,19 @@ CLEAN_C = f"""
 clean_c as (
   select id_evento_caso, sexo, residencia_pais_nombre, residencia_provincia_nombre,
     residencia_departamento_nombre, carga_provincia_nombre,
-    try_cast(fecha_inicio_sintomas as date) as fecha_inicio_sintomas,
-    try_cast(fecha_apertura as date) as fecha_apertura,
+    {_strict('fecha_inicio_sintomas')},
+    {_strict('fecha_apertura')},
     sepi_apertura,
-    try_cast(fecha_internacion as date) as fecha_internacion,
+    {_strict('fecha_internacion')},
     cuidado_intensivo is not distinct from 'SI' as cuidado_intensivo,
-    try_cast(fecha_cui_intensivo as date) as fecha_cui_intensivo,
+    {_strict('fecha_cui_intensivo')},
     fallecido is not distinct from 'SI' as fallecido,
-    try_cast(fecha_fallecimiento as date) as fecha_fallecimiento,
+    {_strict('fecha_fallecimiento')},
     asistencia_respiratoria_mecanica is not distinct from 'SI' as asistencia_respiratoria_mecanica,
     carga_provincia_id,
     nullif(origen_financiamiento, '*sin dato*') as origen_financiamiento,
     clasificacion, clasificacion_resumen, residencia_provincia_id,
-    try_cast(fecha_diagnostico as date) as fecha_diagnostico,
+    {_strict('fecha_diagnostico')},
     residencia_departamento_id,
     {AGE} as edad_anios
   from raw
@@ -405,18 +415,17 @@ LINEITEM_VALUES = """l_partkey l_suppkey l_quantity l_extendedprice l_discount l
 
 
 def _matrix() -> str:
-    months = [f"{y}-{m:02d}" for y in range(1995, 2002) for m in range(1, 13)]
-    cells = ",\n".join(
-        f"""cast(sum(case when ym = '{m}' then total_casos else 0 end) as bigint) as "{m}" """
-        for m in months
-    )
+    """DuckDB finds the months by itself."""
     mart = CONFIRMED["casos_provincia_mes"]
+    cells = f"""(select provincia_nombre, total_casos, strftime(mes, '%Y-%m') as ym from ({mart})
+        where mes is not null and provincia_nombre is not null)"""
     return _with(
         "fact_c",
-        f"""select provincia_nombre, cast(sum(total_casos) as bigint) as total_casos, {cells}
-        from (select *, strftime(mes, '%Y-%m') as ym from ({mart})
-              where mes is not null and provincia_nombre is not null)
-        group by provincia_nombre""",
+        f"""select provincia_nombre, t.total_casos,
+          cast(coalesce(columns(p.* exclude (provincia_nombre)), 0) as bigint)
+        from (pivot {cells} on ym using sum(total_casos) group by provincia_nombre) p
+        join (select provincia_nombre, cast(sum(total_casos) as bigint) as total_casos
+              from {cells} group by provincia_nombre) t using (provincia_nombre)""",
     )
 
 
@@ -472,6 +481,21 @@ def all_oracles() -> dict[str, str]:
         "silver_confirmed": _with("silver_c", "select * from silver_c"),
         "silver_allcases": _with("silver_a", "select * from silver_a"),
         "dim_provincia": _with("fact_a", "select * from dim_prov_a"),
+        "dim_provincia_confirmed": _with(
+            "fact_c", "select provincia_id, provincia as provincia_nombre from dim_prov_c"
+        ),
+        "dim_provincia_view": _with("fact_a", "select * from dim_prov_a"),
+        "raw_table": _with("raw", "select * from raw"),
+        "read_raw_csv": _with("raw", "select * from raw"),
+        "rejected_raw_lines": """
+            select 'x' || o_orderkey || ',"a' as line from orders where o_orderkey % 1009 = 19
+            union all
+            select 'b"' || repeat(',', 23) from orders where o_orderkey % 1009 = 19""",
+        "refreshed_mart": _with("fact_c", CONFIRMED["resumen_provincia"]),
+        "exported_mart": _with("fact_c", CONFIRMED["mortalidad_por_sexo"]),
+        "profile_lineitem_approx": f"""
+            select "column", n_missing, true as within_bound
+            from ({_profile("lineitem", ["l_orderkey", "l_linenumber", *LINEITEM_VALUES])})""",
         "dim_departamento_confirmed": _with("fact_c", "select * from dim_dep_c"),
         "dim_departamento_allcases": _with("fact_a", "select * from dim_dep_a"),
         "fact_confirmed": _with("fact_c", "select * from fact_c"),

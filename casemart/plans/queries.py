@@ -3,14 +3,13 @@
 from __future__ import annotations
 
 import hashlib
-import os
 import threading
 import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from casemart.functions import months_between
 from casemart.operators import (
     check_not_null,
     check_unique,
@@ -22,16 +21,23 @@ from casemart.operators import (
     value_counts,
 )
 from casemart.plans import checks, clean, feeds, marts, native
-from casemart.plans.fixture import RAW_INPUTS, raw_cases, table
-from casemart.plans.layers import Layers, keep_under
+from casemart.plans.fixture import RAW_INPUTS, raw_cases, table, torn_cases
+from casemart.plans.layers import Layers, keep_as_view, keep_under
 from casemart.schema import CATEGORY_COLUMNS, Flavour
-from casemart.sources import shared_dir
+from casemart.sources import (
+    create_raw_table,
+    delete_folder,
+    export_mart,
+    file_version,
+    read_raw_lines,
+    save_mart,
+    shared_dir,
+)
+from casemart.sources.raw import fitting, rejected
 from casemart.streaming import ingest_new_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# Columns of the province by month matrix: the whole period the order tables cover.
-MATRIX_MONTHS = months_between("1995-01", "2001-12")
 
 
 class Workspace:
@@ -39,7 +45,7 @@ class Workspace:
 
     Raw, silver, dimensions and fact are written once below the shared folder; each mart is then
     a pruned, filtered scan of the fact instead of another run of the whole pipeline. Input
-    files that changed on a mounted file system open a new workspace.
+    files that changed, wherever they are stored, open a new workspace.
     """
 
     _open: dict[tuple, Workspace] = {}
@@ -47,22 +53,43 @@ class Workspace:
 
     def __init__(self, spark: SparkSession, sf_dir: str, version: tuple):
         digest = hashlib.sha256(repr((sf_dir, version)).encode()).hexdigest()[:16]
-        self.root = f"{shared_dir(spark)}/casemart/{spark.sparkContext.applicationId}/{digest}"
+        self.spark = spark
+        self.root = f"{workspace_root(spark)}/{digest}"
         raw = keep_under(self.root)("bronze_casos", raw_cases(spark, sf_dir), ())
-        self.layers = {f: Layers(raw, f, keep_under(f"{self.root}/{f.value}")) for f in Flavour}
+        survivors = None
+
+        def survivors_of(lines: DataFrame) -> DataFrame:
+            nonlocal survivors
+            if survivors is None:
+                survivors = keep_under(self.root)("reports", clean.best_reports(lines), ())
+            return survivors
+
+        self.layers = {
+            f: Layers(raw, f, keep_under(f"{self.root}/{f.value}"), survivors_of) for f in Flavour
+        }
         self.raw = raw
 
     @classmethod
     def of(cls, spark: SparkSession, sf_dir: str) -> Workspace:
         sf_dir = sf_dir.rstrip("/")
-        paths = [f"{sf_dir}/{name}.parquet" for name in RAW_INPUTS]
-        version = tuple(os.stat(p).st_mtime_ns for p in paths if os.path.exists(p))
+        version = file_version(spark, [f"{sf_dir}/{name}.parquet" for name in RAW_INPUTS])
         key = (spark.sparkContext.applicationId, sf_dir, version)
         with cls._lock:
             if key not in cls._open:
                 cls._open[key] = cls(spark, sf_dir, version)
             return cls._open[key]
 
+    def drop(self) -> None:
+        """Delete the written layers; the next query writes them again."""
+        with self._lock:
+            for key in [k for k, w in self._open.items() if w is self]:
+                del self._open[key]
+        delete_folder(self.spark, self.root)
+
+
+def workspace_root(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/casemart/{spark.sparkContext.applicationId}"
+
 
 def on_raw(plan: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, sf_dir: plan(Workspace.of(spark, sf_dir).raw)
@@ -82,7 +109,7 @@ def ingest_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     The first delivery holds each case once, the later one the repeated reports; the second,
     idle load must add nothing, so the table ends as exactly the raw cases.
     """
-    run = f"{Workspace.of(spark, sf_dir).root}/ingest-{uuid.uuid4().hex}"
+    run = f"{workspace_root(spark)}/ingest-{uuid.uuid4().hex}"
 
     def deliver(reports: str) -> None:
         cases = raw_cases(spark, sf_dir, reports)
@@ -91,6 +118,7 @@ def ingest_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     def load() -> DataFrame:
         return ingest_new_files(spark, f"{run}/landing", f"{run}/table", f"{run}/checkpoint")
 
+    torn_cases(spark, sf_dir).write.option("header", True).csv(f"{run}/landing")
     deliver("first")
     load()
     load()
@@ -98,6 +126,53 @@ def ingest_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load()
 
 
+def raw_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All raw cases as CSV, among lines that do not fit, read back line by line."""
+    folder = f"{workspace_root(spark)}/csv-{uuid.uuid4().hex}"
+    for frame in (torn_cases(spark, sf_dir), raw_cases(spark, sf_dir)):
+        frame.write.mode("append").option("header", True).csv(folder)
+    return read_raw_lines(spark, folder)
+
+
+def raw_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw table, created twice and filled once."""
+    name = f"raw_{uuid.uuid4().hex}"
+    folder = f"{workspace_root(spark)}/{name}"
+    create_raw_table(spark, name, folder)
+    raw_cases(spark, sf_dir).write.insertInto(name)
+    return create_raw_table(spark, name, folder)
+
+
+def dim_provincia_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The layer chain kept as views instead of tables."""
+    return Layers(raw_cases(spark, sf_dir), Flavour.ALLCASES, keep_as_view).dim_provincia
+
+
+def refreshed_mart(layers: Layers) -> DataFrame:
+    """A mart saved, then fully refreshed from a frame with another schema."""
+    spark = layers.raw.sparkSession
+    name = f"mart_{uuid.uuid4().hex}"
+    folder = f"{workspace_root(spark)}/{name}"
+    mart = marts.stored(layers, "resumen_provincia")
+    save_mart(mart.select(mart.columns[0]), name, folder)
+    return save_mart(mart, name, folder)
+
+
+def exported_mart(layers: Layers) -> DataFrame:
+    """A mart handed to the client and back."""
+    mart = marts.stored(layers, "mortalidad_por_sexo")
+    return layers.raw.sparkSession.createDataFrame(export_mart(mart), mart.schema)
+
+
+def profile_approx(df: DataFrame) -> DataFrame:
+    """The sketched profile held against the exact one: distinct counts within a tenth."""
+    exact = profile(df).select("column", F.col("n_distinct").alias("_exact"))
+    near = F.abs(F.col("n_distinct") - F.col("_exact")) <= F.ceil(F.col("_exact") * 0.1)
+    return profile(df, approx=True).join(exact, "column").select(
+        "column", "n_missing", near.alias("within_bound")
+    )
+
+
 def all_queries() -> dict[str, Query]:
     c, a = Flavour.CONFIRMED, Flavour.ALLCASES
     out: dict[str, Query] = {
@@ -108,6 +183,13 @@ def all_queries() -> dict[str, Query]:
         "silver_confirmed": on_layers(lambda x: x.silver, c),
         "silver_allcases": on_layers(lambda x: x.silver, a),
         "dim_provincia": on_layers(lambda x: x.dim_provincia, a),
+        "dim_provincia_confirmed": on_layers(lambda x: x.dim_provincia, c),
+        "dim_provincia_view": dim_provincia_view,
+        "raw_table": raw_table,
+        "read_raw_csv": lambda spark, sf_dir: fitting(raw_csv(spark, sf_dir)),
+        "rejected_raw_lines": lambda spark, sf_dir: rejected(raw_csv(spark, sf_dir)),
+        "refreshed_mart": on_layers(refreshed_mart, c),
+        "exported_mart": on_layers(exported_mart, c),
         "dim_departamento_confirmed": on_layers(lambda x: x.dim_departamento, c),
         "dim_departamento_allcases": on_layers(lambda x: x.dim_departamento, a),
         "fact_confirmed": on_layers(lambda x: x.fact, c),
@@ -148,9 +230,7 @@ def all_queries() -> dict[str, Query]:
         "feed_died_survived": on_layers(feeds.died_survived, c),
         "feed_deaths_sex": on_layers(feeds.deaths_sex, c),
         "feed_monthly_rate": on_layers(feeds.monthly_rate, c),
-        "feed_province_month_matrix": on_layers(
-            lambda x: feeds.province_month_matrix(x, MATRIX_MONTHS), c
-        ),
+        "feed_province_month_matrix": on_layers(feeds.province_month_matrix, c),
         "feed_matrix_bounds": on_layers(feeds.matrix_bounds, c),
         "feed_pyramid": on_layers(feeds.pyramid, c),
         "feed_delay_vs_rate": on_layers(feeds.delay_vs_rate, c),
@@ -162,6 +242,7 @@ def all_queries() -> dict[str, Query]:
         "dedup_lineitem_latest": on_tables(native.dedup_lineitem_latest, "lineitem"),
         "duplicate_lineitems": on_tables(native.duplicate_lineitems, "lineitem"),
         "profile_lineitem": on_tables(native.profile_lineitem, "lineitem"),
+        "profile_lineitem_approx": on_tables(profile_approx, "lineitem"),
         "value_counts_lineitem": on_tables(native.value_counts_lineitem, "lineitem"),
         "share_orders_priority": on_tables(native.share_orders_priority, "orders"),
         "orders_per_customer": on_tables(native.orders_per_customer, "orders"),

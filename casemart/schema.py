@@ -64,6 +64,7 @@ AGE_BAND_STARTS = [0, 10, 20, 30, 40, 50, 60, 70, 80]
 
 RAW_SCHEMA = T.StructType([T.StructField(c, T.StringType(), True) for c in RAW_COLUMNS])
 
+# Columns whose values are counted.
 CATEGORY_COLUMNS = [
     "sexo",
     "edad_años_meses",

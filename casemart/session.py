@@ -4,14 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-# AQE sizes shuffle partitions from real map output, so the initial number only has to be
-# high enough; 128 MB per reduce task keeps sorts and hash tables inside executor memory.
+# What one reduce task should read of a shuffle, so that sorts and hash tables stay in memory.
+TASK_BYTES = 128 << 20
+# Delimited text is about eight times as large as the compressed shuffle of its rows.
+TEXT_TO_SHUFFLE = 8
+
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(TASK_BYTES),
     "spark.sql.files.maxPartitionBytes": "256m",
 }
 
@@ -20,13 +23,20 @@ SETTINGS = {
 CLUSTER_SETTINGS = {"spark.sql.adaptive.coalescePartitions.parallelismFirst": "false"}
 
 
-def shuffle_partitions_for(input_bytes: int, bytes_per_task: int = 2 << 30) -> int:
-    """Initial shuffle partitions for an input of this size, at least Spark's default of 200.
+def shuffle_partitions_for(input_bytes: int) -> int:
+    """Initial shuffle partitions for so many bytes of text, at least Spark's default of 200.
 
     AQE merges small partitions but never adds any, so the wide shuffle of the deduplication
-    needs enough of them from the start: about 51,000 for 100 TB.
+    needs enough of them from the start: about 100,000 for 100 TB.
     """
-    return max(200, -(-input_bytes // bytes_per_task))
+    return max(200, -(-input_bytes // (TASK_BYTES * TEXT_TO_SHUFFLE)))
+
+
+def size_shuffles(spark: SparkSession, input_bytes: int) -> int:
+    """Set the shuffle partitions of a running session for an input of this size."""
+    n = shuffle_partitions_for(input_bytes)
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    return n
 
 
 def get_session(

@@ -1,8 +1,15 @@
 """Scans and sinks."""
 
-from casemart.sources.raw import create_raw_table, read_raw_csv
+from casemart.sources.raw import (
+    create_loaded_view,
+    create_raw_table,
+    read_raw_csv,
+    read_raw_lines,
+)
 from casemart.sources.tables import (
+    delete_folder,
     export_mart,
+    file_version,
     replace_table,
     save_mart,
     shared_dir,
@@ -10,9 +17,13 @@ from casemart.sources.tables import (
 )
 
 __all__ = [
+    "create_loaded_view",
     "create_raw_table",
+    "delete_folder",
     "export_mart",
+    "file_version",
     "read_raw_csv",
+    "read_raw_lines",
     "replace_table",
     "save_mart",
     "shared_dir",

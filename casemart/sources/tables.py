@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
 
 def shared_dir(spark: SparkSession) -> str:
     """Folder for written intermediate results that the driver and every executor can reach.
@@ -26,28 +29,67 @@ def write_and_read(df: DataFrame, path: str, sort_by: Sequence[str] = ()) -> Dat
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder on whatever file system holds it; a missing one is no error."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def _details(spark: SparkSession, name: str) -> dict[str, str]:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()
+    return {r.col_name: r.data_type for r in rows}
+
+
 def save_mart(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
-    """Replace table `name`, rows and schema, and return it as a table scan."""
-    writer = df.write.mode("overwrite").format("parquet")
-    if path:
-        writer = writer.option("path", path)
-    writer.saveAsTable(name)
-    return df.sparkSession.table(name)
+    """Replace table `name`, rows and schema, and return it as a table scan.
+
+    The new rows are written to a folder of their own below `path` (by default beside the
+    database's tables); only then is the table pointed at it, and the old files go last. So a
+    refresh that fails leaves the old table as it was, and `df` may read the table itself.
+    """
+    spark = df.sparkSession
+    if path is None:
+        database, _, table = name.rpartition(".")
+        database = database or spark.catalog.currentDatabase()
+        rows = spark.sql(f"DESCRIBE DATABASE {database}").collect()
+        path = f"{ {r[0]: r[1] for r in rows}['Location'] }/{table}_versions"
+    folder = f"{path.rstrip('/')}/{uuid.uuid4().hex}"
+    df.write.format("parquet").save(folder)
+    old = None
+    if spark.catalog.tableExists(name):
+        old = _details(spark, name).get("Location")
+        if spark.table(name).schema == spark.read.parquet(folder).schema:
+            spark.sql(f"ALTER TABLE {name} SET LOCATION '{folder}'")
+        else:
+            spark.sql(f"DROP TABLE {name}")
+    if not spark.catalog.tableExists(name):
+        spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{folder}'")
+    spark.catalog.refreshTable(name)
+    if old:
+        delete_folder(spark, old)
+    return spark.table(name)
 
 
 def replace_table(
     spark: SparkSession, name: str, change: Callable[[DataFrame], DataFrame]
 ) -> DataFrame:
-    """Replace a table by a frame derived from that table itself.
+    """Replace a table by a frame derived from that table itself."""
+    return save_mart(change(spark.table(name)), name)
+
 
-    Spark refuses to overwrite a table its own plan reads, so the new rows go to a neighbour
-    that then takes the name over.
+def file_version(spark: SparkSession, paths: Sequence[str]) -> tuple:
+    """Number, size and a hash of names, lengths and times of all files below `paths`.
+
+    Read as Spark lists them, so it holds on every file system and for files in subfolders.
     """
-    neighbour = f"{name}_next"
-    save_mart(change(spark.table(name)), neighbour)
-    spark.sql(f"DROP TABLE {name}")
-    spark.sql(f"ALTER TABLE {neighbour} RENAME TO {name}")
-    return spark.table(name)
+    files = (
+        spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(list(paths))
+    )
+    stamp = F.xxhash64("path", "length", "modificationTime")
+    return tuple(
+        files.agg(F.count("*"), F.coalesce(F.sum("length"), F.lit(0)), F.bit_xor(stamp)).first()
+    )
 
 
 def export_mart(df: DataFrame, max_rows: int = 10_000):

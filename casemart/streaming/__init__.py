@@ -1,5 +1,5 @@
-"""Incremental loading with Structured Streaming."""
+"""Incremental file ingestion."""
 
-from casemart.streaming.ingest import ingest_new_files
+from casemart.streaming.ingest import ingest_new_files, rejected_lines
 
-__all__ = ["ingest_new_files"]
+__all__ = ["ingest_new_files", "rejected_lines"]

@@ -2,8 +2,8 @@ import os
 
 import pytest
 
-from casemart.sources import create_raw_table
-from casemart.streaming import ingest_new_files
+from casemart.sources import create_loaded_view
+from casemart.streaming import ingest_new_files, rejected_lines
 from tests.test_sources import line, write_csv
 
 
@@ -74,11 +74,25 @@ def test_interrupted_batch_counts_once(spark, load, tmp_path):
 
 
 def test_the_raw_table_can_sit_on_the_loaded_files(spark, load, tmp_path):
-    write_csv(tmp_path / "in" / "a.csv", line("1"), line("2"))
+    write_csv(tmp_path / "in" / "a.csv", line("1"), line("2"), "short")
     load()
-    table = create_raw_table(spark, "raw_on_loaded_files", str(tmp_path / "table"))
-    assert ids(table) == ["1", "2"]
+    view = create_loaded_view(spark, "raw_on_loaded_files", str(tmp_path / "table"))
+    assert ids(view) == ["1", "2"]
     write_csv(tmp_path / "in" / "b.csv", line("3"))
     load()
     spark.catalog.refreshTable("raw_on_loaded_files")
     assert ids(spark.table("raw_on_loaded_files")) == ["1", "2", "3"]
+
+
+def test_rejected_lines_are_stored_beside_the_cases(spark, load, tmp_path):
+    write_csv(tmp_path / "in" / "a.csv", line("1"), line("2") + ",surplus", "short")
+    assert ids(load()) == ["1"]
+    lost = rejected_lines(spark, str(tmp_path / "table"))
+    assert sorted(r.line for r in lost.collect()) == sorted([line("2") + ",surplus", "short"])
+
+
+def test_loaded_files_can_be_archived(load, tmp_path):
+    archive = str(tmp_path / "archive")
+    for i in range(3):
+        write_csv(tmp_path / "in" / f"{i}.csv", line(str(i)))
+        assert len(ids(load(archive_dir=archive))) == i + 1

@@ -200,8 +200,8 @@ def test_feeds(layers):
     assert {r.metrica for r in feeds.funding_long(x).collect()} == {
         "tasa_mortalidad_pct", "total_uti", "total_casos",
     }
-    matrix = feeds.province_month_matrix(x, ["2020-05", "2020-06"]).collect()
-    assert [tuple(r) for r in matrix] == [("Salta", 3, 0, 3)]
+    matrix = feeds.province_month_matrix(x).collect()
+    assert [tuple(r) for r in matrix] == [("Salta", 3, 3)]
     assert tuple(feeds.matrix_bounds(x).first()) == (3, 3)
     crossed = by_key(feeds.delay_vs_rate(x), "provincia_nombre")
     assert set(crossed) == {"Salta", None}
@@ -290,3 +290,27 @@ def test_changed_input_files_open_a_new_workspace(spark, sf_dir, tmp_path):
     few.write.mode("overwrite").parquet(str(tmp_path / "orders.parquet"))
     second = Workspace.of(spark, str(tmp_path))
     assert second is not first and second.raw.count() < n == first.raw.count()
+
+
+def test_matrix_has_a_column_for_every_month_that_occurs(spark, layers):
+    from casemart.plans import feeds
+    from casemart.plans.layers import Layers
+
+    x = layers[C]
+    moved = x.raw.withColumn(
+        "fecha_inicio_sintomas",
+        F.add_months(F.to_date("fecha_inicio_sintomas"), 240).cast("string"),
+    )
+    for source in (x.raw, moved):
+        out = feeds.province_month_matrix(Layers(source, C))
+        for row in out.collect():
+            assert sum(row[2:]) == row.total_casos
+        assert out.count() > 0
+
+
+def test_shares_scan_the_fact_once(layers):
+    """The total reads the shuffled groups again, not the fact."""
+    out = marts.composicion_fallecidos_sexo(layers[C])
+    out.collect()
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "isFinalPlan=true" in plan and "ReusedExchange" in plan

@@ -3,9 +3,11 @@
 import pytest
 
 import __spark_entry__ as entry
+from casemart.plans.oracle import all_oracles
+from casemart.plans.queries import all_queries
 from compare import compare, connect
 
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLES = all_queries(), all_oracles()
 
 
 @pytest.fixture(scope="module")
@@ -17,6 +19,7 @@ def duck(sf_dir):
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

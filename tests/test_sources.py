@@ -1,3 +1,5 @@
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -5,12 +7,15 @@ from casemart.schema import RAW_COLUMNS, RAW_SCHEMA
 from casemart.sources import (
     create_raw_table,
     export_mart,
+    file_version,
     read_raw_csv,
+    read_raw_lines,
     replace_table,
     save_mart,
     shared_dir,
     write_and_read,
 )
+from casemart.sources.raw import rejected
 
 HEADER = ",".join(RAW_COLUMNS)
 
@@ -48,12 +53,6 @@ def test_csv_with_columns_in_another_order_is_an_error(spark, tmp_path):
         read_raw_csv(spark, str(tmp_path / "a.csv")).collect()
 
 
-def test_csv_scan_reads_only_needed_columns(spark, tmp_path, plan):
-    write_csv(tmp_path / "a.csv", line("1", sexo="F"))
-    text = plan(read_raw_csv(spark, str(tmp_path / "a.csv")).groupBy("sexo").count())
-    assert "ReadSchema: struct<sexo:string>" in text
-
-
 def test_raw_table_is_created_once(spark, tmp_path):
     path = str(tmp_path / "raw")
     table = create_raw_table(spark, "raw_created_once", path)
@@ -71,11 +70,52 @@ def test_full_refresh_replaces_rows_and_schema(spark):
 
 def test_table_derived_from_itself(spark):
     save_mart(spark.range(4), "mart_in_place")
-    with pytest.raises(Exception, match="UNSUPPORTED_OVERWRITE"):
-        save_mart(spark.table("mart_in_place").filter("id > 1"), "mart_in_place")
+    save_mart(spark.table("mart_in_place").filter("id > 0"), "mart_in_place")
     out = replace_table(spark, "mart_in_place", lambda t: t.filter("id > 1"))
     assert sorted(r.id for r in out.collect()) == [2, 3]
-    assert not spark.catalog.tableExists("mart_in_place_next")
+
+
+@pytest.mark.parametrize("refresh", ["save", "replace"])
+def test_a_failed_refresh_leaves_the_old_rows(spark, refresh):
+    name = f"mart_kept_{refresh}"
+    save_mart(spark.range(3), name)
+    bad = F.raise_error(F.lit("lost")).cast("long").alias("id")
+    with pytest.raises(Exception, match="lost"):
+        if refresh == "save":
+            save_mart(spark.range(5).select(bad), name)
+        else:
+            replace_table(spark, name, lambda t: t.select(bad))
+    assert spark.table(name).count() == 3
+
+
+def test_old_files_go_after_a_refresh(spark, tmp_path):
+    path = tmp_path / "versions"
+    for n in (1, 2, 3):
+        save_mart(spark.range(n), "mart_versions", str(path))
+    assert len(list(path.iterdir())) == 1 and spark.table("mart_versions").count() == 3
+
+
+def test_lines_that_do_not_fit_are_kept_whole(spark, tmp_path):
+    surplus, short = line("2") + ",one,more", "3,x"
+    broken = ['4,"multi', 'line",z']
+    write_csv(tmp_path / "a.csv", line("1"), surplus, short, *broken, line("5"))
+    lines = read_raw_lines(spark, str(tmp_path / "a.csv"))
+    assert sorted(r.line for r in rejected(lines).collect()) == sorted([surplus, short, *broken])
+    good = read_raw_csv(spark, str(tmp_path / "a.csv"))
+    assert sorted(r.id_evento_caso for r in good.collect()) == ["1", "5"]
+
+
+def test_file_version_sees_a_file_below_an_unchanged_folder(spark, tmp_path):
+    folder = tmp_path / "t" / "p=1"
+    spark.range(5).write.parquet(str(folder))
+    before = file_version(spark, [f"file:{tmp_path}/t"])
+    assert before == file_version(spark, [str(tmp_path / "t")])
+    part = next(p for p in folder.iterdir() if p.name.endswith(".parquet"))
+    times = [(d, d.stat().st_mtime_ns) for d in (folder, tmp_path / "t")]
+    part.write_bytes(part.read_bytes() + b"x")
+    for d, t in times:
+        os.utime(d, ns=(t, t))
+    assert before != file_version(spark, [f"file:{tmp_path}/t"])
 
 
 def test_export_refuses_to_cut(spark):
@@ -95,22 +135,8 @@ def test_shared_dir_comes_from_the_session(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
 
 
-class FakeSession:
-    """A session whose conf lacks the checkpoint folder."""
-
-    class Context:
-        applicationId = "app-1"
-
-        def __init__(self, master):
-            self.master = master
-
-    def __init__(self, master):
-        self.sparkContext = self.Context(master)
-        self.conf = {}
-
+def test_without_the_setting_it_lies_in_the_warehouse(spark):
+    class Session:
+        conf = {"spark.sql.warehouse.dir": "hdfs://lake/warehouse"}
 
-def test_only_a_local_master_may_choose_its_own_folder():
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        shared_dir(FakeSession("spark://host:7077"))
-    local = FakeSession("local[2]")
-    assert shared_dir(local) == shared_dir(local)
+    assert shared_dir(Session()) == "hdfs://lake/warehouse/_work"
