@@ -1,14 +1,16 @@
 """N-gram Jaccard join: a grouped prefix join over the word shingles of whole texts.
 
-1. Shingle hashes get a global order, rare before frequent. How frequent is read off a sketch of
-   fixed size that counts every shingle of every text (`class_table`).
+1. Shingle hashes get a global order: first those of a fixed share of the hash range that occur
+   in one text only, then the share's others by rising frequency, then the rest. Occurrences in the
+   share are counted exactly over all texts; bitmaps of fixed size carry the result (`order_of`).
 2. Texts with equal shingle sets are one set with copies; sets of equal size and prefix are one
    group. Two sets that reach the threshold share a token of their prefixes, the first
-   size - ceil(t * size) + 1 tokens in the order.
-3. Groups that share a prefix token, directly or through others, form a cluster. A cluster of up to
+   size - ceil(t * size) + 1 tokens in the order. Tokens of one text only need no list, and lists
+   are kept by token and size range (sets link only within a range or with the next one).
+3. Groups that share a list, directly or through others, form a cluster. A cluster of up to
    `cluster_rows` sets is compared as a whole, so each set travels once; in a larger one, the sets
-   of one prefix token are compared. Either way sets meet in tiles of two blocks of about
-   `BLOCK` sets: no task holds a whole cluster.
+   of one list are compared. Either way sets meet in tiles of two blocks of about `BLOCK` sets: no
+   task holds a whole cluster.
 4. A tile expands the groups to their members, counts exact intersections by a matrix product, and
    gives each set's number of links and a spanning forest of the links, never all pairs.
 
@@ -27,16 +29,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from casemart.llm.bytes_kernel import MIX_A, MIX_B, Shingler, mix, slices, text_batch
+from casemart.llm.bytes_kernel import MIX_A, MIX_B, ODD, Shingler, mix, slices, text_batch
 from casemart.llm.common import Bitmap, written
 from casemart.llm.components import components
 
-SKETCH_BITS = 20  # counters of the sketch: a million, whatever the input's size
-SKETCH_CHUNK = 4096  # counters per row while the sketch is summed
+SHARE = 1.8  # of the longest prefix: the part of the hash range whose tokens are counted
+FREQUENT = {2: 25, 16: 22, 256: 22, 4096: 20}  # occurrences that count as a class: bitmap's bits
 BATCH_BYTES = 1 << 21
 BLOCK = 256  # sets of one block of a tile
 CLUSTER_ROWS = 4096
@@ -51,112 +52,115 @@ def shingle_sets(batch: pa.RecordBatch, column: int, shingler: Shingler):
         yield lo, shingler.sets(part, offsets[lo : hi + 1] - offsets[lo])
 
 
-def class_table(docs: DataFrame, n: int) -> np.ndarray:
-    """Order class of each hash bucket: the rounded-up log2 of how many shingles fell into it.
-
-    A map task sends its counters as rows of `SKETCH_CHUNK`; they are summed in two steps, so no
-    task reads more than a square root's share of them. The driver gets the sums, 4 MiB.
-    """
+def order_of(docs: DataFrame, n: int, num: int, den: int) -> Order:
+    """Count the tokens of the low share of the hash range over all texts."""
+    share = min(1.0, SHARE * (den - num) / den)
+    limit = np.uint64(int(share * (1 << 64)) - 1)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(n)
-        counts = np.zeros(1 << SKETCH_BITS, dtype=np.int64)
         for batch in batches:
             for _, sets in shingle_sets(batch, 0, shingler):
-                if sets:
-                    bucket = np.concatenate(sets) >> np.uint64(64 - SKETCH_BITS)
-                    np.add.at(counts, bucket.astype(np.int64), 1)
-        chunks = counts.reshape(-1, SKETCH_CHUNK)
-        used = np.flatnonzero(chunks.any(axis=1))
-        task = TaskContext.get().partitionId()
-        yield pa.record_batch(
-            [
-                pa.array(used, pa.int32()),
-                pa.array(np.full(len(used), task // 64), pa.int32()),
-                pa.array([chunks[i].tobytes() for i in used], pa.binary()),
-            ],
-            names=["chunk", "part", "counts"],
-        )
+                low = np.concatenate([s[: np.searchsorted(s, limit)] for s in sets])
+                found, times = np.unique(low, return_counts=True)
+                yield pa.record_batch(
+                    [pa.array(mix(found).view(np.int64)), pa.array(times, pa.int64())],
+                    names=["token", "times"],
+                )
 
-    def add(part: pa.Table) -> pa.Table:
-        total = sum(np.frombuffer(c, dtype=np.int64) for c in part["counts"].to_pylist())
-        return pa.table(
-            {
-                "chunk": part["chunk"].slice(0, 1),
-                "part": part["part"].slice(0, 1),
-                "counts": pa.array([total.tobytes()], pa.binary()),
-            }
-        )
+    counted = docs.select("text").mapInArrow(count, "token long, times long")
+    counted = counted.groupBy("token").agg(F.sum("times").alias("times")).filter("times > 1")
+    counted = written(counted, "repeated-tokens")
+    maps = [
+        Bitmap.of(counted.filter(F.col("times") >= times), "token", bits)
+        for times, bits in FREQUENT.items()
+    ]
+    return Order(n, num, den, limit, maps)
+
+
+class Order:
+    """The global order of shingle hashes, for texts compared by n-grams at num / den."""
+
+    def __init__(self, n: int, num: int, den: int, limit: np.uint64, maps: list[Bitmap]):
+        self.n, self.num, self.den, self.limit, self.maps = n, num, den, limit, maps
+        # Sizes that can link are at most one range apart.
+        self.width = np.log(den / num) * (1 + 1e-9)
 
-    schema = "chunk int, part int, counts binary"
-    summed = docs.select("text").mapInArrow(count, schema).groupBy("chunk", "part")
-    summed = summed.applyInArrow(add, schema).groupBy("chunk").applyInArrow(add, schema)
-    out = np.zeros(1 << SKETCH_BITS, dtype=np.uint8)
-    for row in summed.collect():  # (1 << SKETCH_BITS) / SKETCH_CHUNK rows
-        counts = np.frombuffer(row.counts, dtype=np.int64)
-        at = row.chunk * SKETCH_CHUNK
-        out[at : at + SKETCH_CHUNK] = np.ceil(np.log2(counts + 1)).astype(np.uint8)
-    return out
+    def tokens(self, hashes: np.ndarray) -> np.ndarray:
+        """A set's tokens in the order: class in the top byte, 56 bits of the hash below."""
+        kind = np.full(len(hashes), len(FREQUENT) + 1, dtype=np.uint64)
+        low = int(np.searchsorted(hashes, self.limit))
+        keys = mix(hashes[:low].copy())
+        kind[:low] = sum(m.has(keys).astype(np.uint64) for m in self.maps)
+        return np.sort(kind << np.uint64(56) | hashes & TOKEN)
 
+    def size_range(self, sizes):
+        return np.floor(np.log(sizes) / self.width).astype(np.int64)
 
-def ordered_tokens(hashes: np.ndarray, classes: np.ndarray) -> np.ndarray:
-    """A set's tokens in the global order: class in the top byte, 56 bits of the hash below."""
-    bucket = (hashes >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)
-    return np.unique(classes[bucket].astype(np.uint64) << np.uint64(56) | hashes & TOKEN)
+    def lists(self, tokens: np.ndarray) -> tuple[np.ndarray, int]:
+        """The lists that a set stands in, and a hash of its size and prefix."""
+        size = len(tokens)
+        prefix = tokens[: size - -(-self.num * size // self.den) + 1]
+        group = mix(np.uint64(size) + mix(prefix ^ MIX_B)[None].sum(axis=1))[0]
+        shared = prefix[prefix >> np.uint64(56) > 0]
+        here = int(self.size_range(size))
+        lists = np.concatenate([list_keys(shared, here), list_keys(shared, here + 1)])
+        return lists, group
 
 
-def prefixes(docs: DataFrame, n: int, num: int, den: int, classes: np.ndarray) -> DataFrame:
-    """(doc_id, n, d1, d2, prefix): set size, 128-bit digest of the set and prefix of every row."""
+def list_keys(tokens: np.ndarray, size_range) -> np.ndarray:
+    return mix(tokens + np.asarray(size_range).astype(np.uint64) * ODD)
+
+
+def prefixes(docs: DataFrame, order: Order) -> DataFrame:
+    """(doc_id, n, d1, d2, gid, lists): set size, 128-bit digest, group and lists of every row."""
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler = Shingler(n)
+        shingler = Shingler(order.n)
         for batch in batches:
             for lo, sets in shingle_sets(batch, 1, shingler):
-                tokens = [ordered_tokens(s, classes) for s in sets]
+                tokens = [order.tokens(s) for s in sets]
                 sizes = np.array([len(t) for t in tokens], dtype=np.int64)
-                digests = np.array(
-                    [(mix(t ^ MIX_A).sum(), mix(t ^ MIX_B).sum()) for t in tokens],
-                    dtype=np.uint64,
-                ).view(np.int64)
-                heads = [
-                    t[: len(t) - -(-num * len(t) // den) + 1].view(np.int64) if len(t) else []
-                    for t in tokens
-                ]
+                codes = np.zeros((len(tokens), 3), dtype=np.uint64)
+                lists = []
+                for i, t in enumerate(tokens):
+                    codes[i, :2] = mix(t ^ MIX_A).sum(), mix(t ^ MIX_B).sum()
+                    keys = np.zeros(0, dtype=np.uint64)
+                    if len(t):
+                        keys, codes[i, 2] = order.lists(t)
+                    lists.append(keys.view(np.int64))
+                codes = codes.view(np.int64)
                 yield pa.record_batch(
                     [
                         batch.column(0).slice(lo, len(sets)), pa.array(sizes),
-                        pa.array(digests[:, 0]), pa.array(digests[:, 1]),
-                        pa.array(heads, pa.list_(pa.int64())),
+                        pa.array(codes[:, 0]), pa.array(codes[:, 1]), pa.array(codes[:, 2]),
+                        pa.array(lists, pa.list_(pa.int64())),
                     ],
-                    names=["doc_id", "n", "d1", "d2", "prefix"],
+                    names=["doc_id", "n", "d1", "d2", "gid", "lists"],
                 )
 
-    schema = "doc_id long, n long, d1 long, d2 long, prefix array<long>"
+    schema = "doc_id long, n long, d1 long, d2 long, gid long, lists array<long>"
     return docs.select("doc_id", "text").mapInArrow(sketch, schema)
 
 
 def clusters_of(sets: DataFrame, cluster_rows: int) -> DataFrame:
     """(cluster, token, rep, d1, d2, copies, size) of the sets that may have a link.
 
-    token is null where a cluster is compared as a whole; else the cluster is the list of the sets
-    whose prefixes hold that token.
+    token is null where a cluster is compared as a whole; else it names the list compared.
     """
-    tokens = sets.select(F.explode("prefix").alias("token"), "gid")
+    tokens = sets.select(F.explode("lists").alias("token"), "gid")
     shared = written(
         tokens.groupBy("token").agg(F.min("gid").alias("hub"), F.max("gid").alias("last"))
-        .filter("hub < last").select("token", "hub", F.xxhash64("token").alias("key")),
+        .filter("hub < last").select("token", "hub"),
         "shared-tokens",
     )
-    maybe = Bitmap.of(shared, "key", 24)
+    maybe = Bitmap.of(shared, "token", 24)
 
     def only_shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = maybe.has(batch.column(2).to_numpy())
-            yield batch.filter(pa.array(keep)).select(["token", "gid"])
+            yield batch.filter(pa.array(maybe.has(batch.column(0).to_numpy())))
 
-    few = tokens.withColumn("key", F.xxhash64("token")).mapInArrow(
-        only_shared, "token long, gid long"
-    )
+    few = tokens.mapInArrow(only_shared, "token long, gid long")
     edges = few.join(shared.select("token", "hub"), "token").filter("gid <> hub")
     linked = components(edges.select("gid", "hub").distinct(), "gid", "hub")
     placed = (
@@ -167,7 +171,7 @@ def clusters_of(sets: DataFrame, cluster_rows: int) -> DataFrame:
     placed = written(
         placed.join(sizes, "cluster").select(
             "cluster", "rep", "d1", "d2", "n", "copies", "size",
-            F.when(F.col("size") > cluster_rows, F.col("prefix")).alias("prefix"),
+            F.when(F.col("size") > cluster_rows, F.col("lists")).alias("lists"),
         ),
         "clusters",
     )
@@ -176,26 +180,27 @@ def clusters_of(sets: DataFrame, cluster_rows: int) -> DataFrame:
         "token", F.lit(None).cast("long")
     )
     large = placed.filter(F.col("size") > cluster_rows).drop("size")
-    lists = large.withColumn("token", F.explode("prefix"))
+    lists = large.withColumn("token", F.explode("lists"))
     listed = lists.groupBy("token").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
     return whole.select(*columns).unionByName(lists.join(listed, "token").select(*columns))
 
 
-def compare_tile(sets, blocks, copies, token, num: int, den: int):
+def compare_tile(sets, blocks, copies, token, order: Order):
     """Links of one tile: per set the copies it is linked to, and the root of its links' tree.
 
     Sets of one block are compared where the tile is that block with itself, else only sets of
-    different blocks. With a token, a pair counts only where that is the first token in common.
+    different blocks. With a list's key, a pair counts only in the list of its first token in
+    common and the larger of its size ranges.
     """
-    m = len(sets)
+    m, num, den = len(sets), order.num, order.den
     sizes = np.array([len(s) for s in sets])
     both = np.zeros((m, m), dtype=np.float32)
     tokens, code, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
     row = np.repeat(np.arange(m), sizes)
     use = counts[code] > 1
     code, row = (np.cumsum(counts > 1) - 1)[code[use]], row[use]
-    order = np.argsort(code, kind="stable")
-    code, row = code[order], row[order]
+    by_code = np.argsort(code, kind="stable")
+    code, row = code[by_code], row[by_code]
     width = max(256, (1 << 20) // m)
     last = int(code[-1]) + 1 if len(code) else 0
     for start in range(0, last, width):
@@ -213,8 +218,9 @@ def compare_tile(sets, blocks, copies, token, num: int, den: int):
     if token is not None:
         counted = linked.copy()
         for i, j in zip(*np.nonzero(np.triu(linked))):
-            first = np.intersect1d(sets[i], sets[j], assume_unique=True)[0]
-            counted[i, j] = counted[j, i] = first == token
+            first = np.intersect1d(sets[i], sets[j], assume_unique=True)[:1]
+            own = list_keys(first, order.size_range(max(len(sets[i]), len(sets[j]))))
+            counted[i, j] = counted[j, i] = own.view(np.int64)[0] == token
     links = counted @ np.asarray(copies, dtype=np.int64)
     root = np.arange(m)
     while True:
@@ -227,7 +233,7 @@ def compare_tile(sets, blocks, copies, token, num: int, den: int):
 LINKS = "rep long, d1 long, root long, links long"
 
 
-def compare(tiles: DataFrame, num: int, den: int) -> DataFrame:
+def compare(tiles: DataFrame, order: Order) -> DataFrame:
     """Run `compare_tile` over the rows of every tile, which stand together in a partition."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -239,7 +245,7 @@ def compare(tiles: DataFrame, num: int, den: int) -> DataFrame:
             sets = [np.frombuffer(r["tokens"], dtype=np.uint64) for r in rows]
             links, root = compare_tile(
                 sets, [r["block"] for r in rows], [r["copies"] for r in rows], rows[0]["token"],
-                num, den,
+                order,
             )
             at = np.flatnonzero(links + (root != np.arange(len(rows))))
             at = np.union1d(at, root[at])
@@ -277,19 +283,14 @@ def join(
     the rows linked to a row.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    classes = class_table(docs, n)
-    base = written(prefixes(docs, n, num, den, classes), "prefixes")
-    sets = (
-        base.filter("n > 0")
-        .groupBy("n", "d1", "d2")
-        .agg(F.min(F.struct("doc_id", "prefix")).alias("first"), F.count(F.lit(1)).alias("copies"),
-             F.min("doc_id").alias("rep"))
-    )
+    order = order_of(docs, n, num, den)
+    base = written(prefixes(docs, order), "prefixes")
+    # Equal sets have equal groups and lists, so the smallest row of each stands for all.
     sets = written(
-        sets.select(
-            "n", "d1", "d2", "rep", "copies", "first.prefix",
-            F.xxhash64("n", "first.prefix").alias("gid"),
-        ),
+        base.filter("n > 0")
+        .groupBy("n", "d1", "d2", "gid")
+        .agg(F.min("lists").alias("lists"), F.count(F.lit(1)).alias("copies"),
+             F.min("doc_id").alias("rep")),
         "sets",
     )
     known = sets.filter("rep is not null")
@@ -303,7 +304,7 @@ def join(
         for batch in batches:
             batch = batch.filter(pa.array(by_id.has(batch.column(2).to_numpy())))
             for lo, found in shingle_sets(batch, 1, shingler):
-                tokens = [ordered_tokens(s, classes) for s in found]
+                tokens = [order.tokens(s) for s in found]
                 d1 = np.array([mix(t ^ MIX_A).sum() for t in tokens], dtype=np.uint64)
                 yield pa.record_batch(
                     [
@@ -328,7 +329,7 @@ def join(
             F.greatest("block", "other").alias("right"), "block", "rep", "d1", "copies", "tokens",
         )
     )
-    links = written(compare(tiles, num, den), "links")
+    links = written(compare(tiles, order), "links")
     reached = components(links.filter("rep <> root"), "rep", "root")
     counts = links.groupBy("rep", "d1").agg(F.sum("links").alias("links"))
     classed = (

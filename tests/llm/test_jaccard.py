@@ -1,4 +1,5 @@
 import re
+from types import SimpleNamespace
 
 import numpy as np
 import pytest
@@ -60,7 +61,8 @@ def test_a_tile_in_several_column_chunks():
     rng = np.random.default_rng(1)
     sets = [np.unique(rng.integers(0, 9000, 6000).astype(np.uint64)) for _ in range(60)]
     sets += [s[: len(s) * 9 // 10] for s in sets[:20]]
-    links, root = jaccard.compare_tile(sets, [0] * 80, [1] * 80, None, 85, 100)
+    order = SimpleNamespace(num=85, den=100)
+    links, root = jaccard.compare_tile(sets, [0] * 80, [1] * 80, None, order)
     want = [sum(100 * len(np.intersect1d(a, b)) >= 85 * len(np.union1d(a, b)) for b in sets) - 1
             for a in sets]
     assert links.tolist() == want and (root[60:] == np.arange(20)).all()
