@@ -39,14 +39,6 @@ def bucket_of(key: Column, buckets: int | Column) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(buckets) if isinstance(buckets, int) else buckets)
 
 
-def words(text: Column) -> Column:
-    """The words of a text as an array; none for an empty or null one."""
-    trimmed = F.regexp_replace(F.coalesce(text, F.lit("")), rf"^{SPACE}|{SPACE}$", "")
-    return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(
-        F.split(trimmed, SPACE)
-    )
-
-
 class Bitmap:
     """A set of 64-bit keys in a fixed number of bits: never misses a member, may add others.
 
@@ -82,9 +74,6 @@ class Bitmap:
             out[start : start + chunk // 8] = np.frombuffer(row.bits, dtype=np.uint8)
         return cls(out, log_bits)
 
-    def __contains__(self, keys):
-        raise TypeError("use has(keys)")
-
     def has(self, keys: np.ndarray) -> np.ndarray:
         slot = keys.view(np.uint64) >> np.uint64(64 - self.log_bits)
         byte = self.bits[(slot >> np.uint64(3)).astype(np.int64)]

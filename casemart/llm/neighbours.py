@@ -141,11 +141,12 @@ def nearest(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                dim = row["dim"]
-                read = lambda name: np.frombuffer(row[name], dtype=np.float64).reshape(-1, dim)  # noqa: E731, B023
                 q, v, s = tile_best(
-                    np.frombuffer(row["q_ids"], dtype=np.int64), read("q_vectors"),
-                    np.frombuffer(row["ids"], dtype=np.int64), read("vectors"), k,
+                    np.frombuffer(row["q_ids"], dtype=np.int64),
+                    np.frombuffer(row["q_vectors"]).reshape(-1, row["dim"]),
+                    np.frombuffer(row["ids"], dtype=np.int64),
+                    np.frombuffer(row["vectors"]).reshape(-1, row["dim"]),
+                    k,
                 )
                 yield pa.record_batch([q, v, s], names=["query_id", "vec_id", "score"])
 

@@ -35,7 +35,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from casemart.llm.bytes_kernel import ODD, mix, powers, ragged, slices, text_batch
-from casemart.llm.common import bucket_of
 
 CAPACITY = 1024  # ids in a sequence: fixed value
 END_ID = 0  # closes every document: fixed value
