@@ -1,5 +1,9 @@
+import pytest
+
 import pipeline
 from casemart.schema import Flavour
+from casemart.session import TEXT_TO_SHUFFLE, shuffle_partitions_for
+from casemart.sources import file_version
 from tests.test_sources import line, write_csv
 
 CASE = {
@@ -10,6 +14,13 @@ CASE = {
 }
 
 
+@pytest.fixture(autouse=True)
+def own_shuffle_setting(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def test_a_second_run_adds_the_new_files(spark, tmp_path, capsys):
     args = [
         "--landing", str(tmp_path / "in"), "--raw", str(tmp_path / "raw"),
@@ -26,6 +37,9 @@ def test_a_second_run_adds_the_new_files(spark, tmp_path, capsys):
     row = spark.table(kpis).first()
     assert (row.total_confirmados, row.tasa_mortalidad_pct) == (3, 33.33)
     assert capsys.readouterr().out.count("ok ") == 18
+    _, stored, _ = file_version(spark, [str(tmp_path / "raw")])
+    used = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert stored > 0 and used == shuffle_partitions_for(stored * TEXT_TO_SHUFFLE) == 200
 
 
 def test_failed_checks_are_counted(spark, tmp_path):
