@@ -38,7 +38,7 @@ from casemart.llm.components import components
 
 SHARE = 1.8  # of the longest prefix: the part of the hash range whose tokens are counted
 FREQUENT = {2: 25, 16: 22, 256: 22, 4096: 20}  # occurrences that count as a class: bitmap's bits
-BATCH_BYTES = 1 << 21
+BATCH_BYTES = 1 << 19
 BLOCK = 256  # sets of one block of a tile
 CLUSTER_ROWS = 4096
 TOKEN = np.uint64((1 << 56) - 1)

@@ -35,7 +35,7 @@ MAX_LANGUAGES = 200
 HASH_BITS = 16
 TRAIN_DOCS, TRAIN_CHARS = 200, 20_000
 ROUNDS, RATE, RIDGE = 12, 0.1, 1e-3
-BATCH_CHARS = 1 << 19
+BATCH_CHARS = 1 << 18
 PASSAGE = 40  # mean words of a training passage
 
 
@@ -197,7 +197,10 @@ def label_texts(texts: list[str], model: Model, words: Words):
 def predict(docs: DataFrame, model: Model | None, letter_bits: np.ndarray,
             keep: tuple[str, ...] = ()) -> DataFrame:
     """The columns `keep`, lang_pred, score and n_words of every row."""
-    names = [*(f"_{c}" for c in keep), "lang_pred", "score", "n_words"]
+    # The text goes to the tasks once, whether it is kept or not.
+    others = [c for c in keep if c != "text"]
+    names = [*(f"_{c}" for c in others), "lang_pred", "score", "n_words"]
+    names += ["_text"] if "text" in keep else []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = Words(letter_bits)
@@ -216,14 +219,15 @@ def predict(docs: DataFrame, model: Model | None, letter_bits: np.ndarray,
                 count += n.tolist()
             yield pa.record_batch(
                 [*batch.columns[1:], pa.array(found, pa.string()), pa.array(score, pa.float64()),
-                 pa.array(count, pa.int64())],
+                 pa.array(count, pa.int64()), *(batch.columns[:1] if "text" in keep else [])],
                 names=names,
             )
 
-    rows = docs.select("text", *(F.col(c).alias(f"_{c}") for c in keep))
+    rows = docs.select("text", *(F.col(c).alias(f"_{c}") for c in others))
     kinds = dict(rows.dtypes)
-    schema = "".join(f"`_{c}` {kinds[f'_{c}']}, " for c in keep)
-    out = rows.mapInArrow(run, schema + "lang_pred string, score double, n_words long")
+    schema = "".join(f"`_{c}` {kinds[f'_{c}']}, " for c in others)
+    schema += "lang_pred string, score double, n_words long"
+    out = rows.mapInArrow(run, schema + (", `_text` string" if "text" in keep else ""))
     return out.select(
         *(F.col(f"_{c}").alias(c) for c in keep), "lang_pred", "score", "n_words"
     )

@@ -50,7 +50,7 @@ from casemart.llm.common import Bitmap, arrow_map, written
 
 LENGTH = 100  # bytes of a string that counts as repeated: fixed value
 GRAM = 40  # bytes of an anchor
-BATCH_BYTES = 1 << 20
+BATCH_BYTES = 1 << 19
 HOT_FRAGMENTS = 20_000
 SYMBOLS = 1 << 22  # bytes of fragments sorted together in a task
 LAST = (1 << 63) - 1  # stands for a null doc_id

@@ -33,15 +33,16 @@ def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     columns = docs.columns
     learn = ~language.held_out(2, 4) & F.col("doc_id").isNotNull()
     model, letter_bits = language.train(docs, learn)
+    others = F.struct(*(c for c in columns if c != "text"))
     labelled = language.predict(
-        docs.withColumn("_columns", F.struct(*columns)), model, letter_bits, ("_columns",)
+        docs.select("text", others.alias("_columns")), model, letter_bits, ("text", "_columns")
     )
     kept = labelled.filter(
         (F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_SCORE)
     )
     return kept.select(
         *(
-            F.col("lang_pred").alias("lang") if c == "lang" else F.col(f"_columns.{c}").alias(c)
+            F.col({"lang": "lang_pred", "text": "text"}.get(c, f"_columns.{c}")).alias(c)
             for c in columns
         )
     )
