@@ -118,6 +118,9 @@ def with_next_text(docs: DataFrame, block_rows: int = 4096) -> DataFrame:
 
     The order is cut into blocks at quantiles of doc_id. Inside a block a window finds the next
     row; only the first row of every block has to cross, in a table of one row per block.
+
+    (block, place) is the row's identity, place its number in the block. Rows that tie in the order
+    are equal, so the same rows come back when they are computed again.
     """
     rows = docs.select(
         "doc_id", F.coalesce("text", F.lit("")).alias("text")
@@ -134,6 +137,7 @@ def with_next_text(docs: DataFrame, block_rows: int = 4096) -> DataFrame:
     inside = Window.partitionBy("block").orderBy(*order)
     linked = rows.select(
         "doc_id", "text", "block",
+        F.row_number().over(inside).alias("place"),
         F.lead("doc_id").over(inside).alias("next_id"),
         F.lead("text").over(inside).alias("next_text"),
         F.lead(F.lit(True)).over(inside).alias("has_next"),
@@ -152,6 +156,8 @@ def with_next_text(docs: DataFrame, block_rows: int = 4096) -> DataFrame:
         ).alias("head"),
     )
     return linked.join(ring, "block").select(
+        "block",
+        "place",
         "doc_id",
         "text",
         F.when(F.col("has_next"), F.col("next_id")).otherwise(F.col("head.doc_id")).alias("next_id"),
@@ -173,9 +179,10 @@ def digest(docs: DataFrame, radius: int = 3) -> DataFrame:
     edited = F.concat(
         F.substr("text", F.lit(1), chars - half), F.substr("next_text", F.lit(1), half)
     )
-    keys = ["doc_id", "next_id", "n_chars", "edited_sha256"]
+    # (block, place) keeps equal rows apart, in the result and in the counters.
+    keys = ["block", "place", "doc_id", "next_id", "n_chars", "edited_sha256"]
     sides = (
-        linked.select("doc_id", "next_id", chars.cast("long").alias("n_chars"), "text",
+        linked.select("block", "place", "doc_id", "next_id", chars.cast("long").alias("n_chars"), "text",
                       edited.alias("edited"))
         .withColumn("edited_sha256", F.sha2("edited", 256))
         .select(*keys, F.posexplode(F.array("text", "edited")).alias("side", "text"))

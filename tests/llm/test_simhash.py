@@ -40,6 +40,24 @@ def test_votes_match_a_plain_count(spark):
     assert got.fingerprint & (2**64 - 1) == sum(1 << b for b in range(64) if votes[b] > 0)
 
 
+def test_repeated_rows_stay_apart(spark):
+    long_text = " ".join(f"word{i:09d}" for i in range(8000))  # fills the counters of one row
+    rows = [(1, "same words here")] * 5 + [(2, long_text)] * 4 + [(3, long_text)]
+    rows += [(None, "no id at all")] * 4 + [(None, long_text)] * 3 + [(None, None)] * 3
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    out = simhash.digest(frame).collect()
+    got = sorted((r.doc_id or 0, r.n_chars) for r in out)
+    assert got == sorted((i or 0, len(t or "")) for i, t in rows)
+    prints = {}
+    for r in out:
+        prints.setdefault(r.n_chars, set()).add(r.fingerprint)
+    single = simhash.fingerprints(
+        spark.createDataFrame([(1, long_text)], "id long, text string"), ["id"]
+    ).first().fingerprint
+    assert prints[len(long_text)] == {f"{single & (2**64 - 1):016x}"}
+    assert all(len(p) == 1 for p in prints.values())
+
+
 def test_radius_search_finds_all_pairs(spark):
     rng = random.Random(5)
     values = [rng.getrandbits(64) for _ in range(80)]
