@@ -21,16 +21,21 @@ over_budget            a single turn larger than the budget is kept whole and ma
 Defined cases: a null role or text is empty; a null conv_id is a conversation of its own; repeated
 rows stay, ordered by turn, role and text (nulls first); an empty table gives no windows; columns
 of other names are ignored. A turn is never cut.
+
+Turns stay one row each: a conversation of any length is ordered by a window, only its token counts
+meet in one row, and a window's turns are joined to it by their place. `digest` alone needs a
+conversation's whole text at once, for its hash.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # The template: fixed values.
 OPEN, OPEN_END, CLOSE = "<turn ", ">", "</turn>\n"
 OVERHEAD_TOKENS = 4  # tokens that the marks of one turn take
+PIECE = 256  # turns that are folded at once; changes no result
 
 
 def escape(text: Column) -> Column:
@@ -63,33 +68,63 @@ def estimated_tokens(text: Column) -> Column:
 
 
 def spans(tokens: Column, system: Column, budget: int) -> Column:
-    """First turn of the window each turn belongs to, by prefix sums of turn tokens.
+    """The windows of a conversation as an array of (start, own, used), from its turns' tokens.
 
     A window starts at the first turn whose prefix sum, counted from the window's start, would
-    pass the budget left beside the system turn.
+    pass the budget left beside the system turn. `own` turns with `used` tokens are its own. Turns
+    are folded in pieces of `PIECE`, whose finished windows are one array each: appending to one
+    array of all windows would copy it for every window.
     """
-    return F.aggregate(
-        tokens,
+    none = F.array().cast("array<struct<start:int,own:int,used:bigint>>")
+    whole = F.aggregate(
+        F.sequence(F.lit(0), F.floor((F.size(tokens) - 1) / PIECE).cast("int")),
         F.struct(
-            F.lit(0).alias("i"),
-            F.lit(0).alias("start"),
-            F.lit(0).cast("long").alias("used"),
-            F.array().cast("array<int>").alias("starts"),
+            F.struct(
+                F.lit(0).alias("i"),
+                F.lit(0).alias("start"),
+                F.lit(0).cast("long").alias("used"),
+                none.alias("done"),
+            ).alias("now"),
+            F.array().cast("array<array<struct<start:int,own:int,used:bigint>>>").alias("all"),
+        ),
+        lambda acc, piece: F.struct(
+            F.aggregate(
+                F.slice(tokens, piece * PIECE + 1, PIECE),
+                F.struct(
+                    acc["now"]["i"].alias("i"),
+                    acc["now"]["start"].alias("start"),
+                    acc["now"]["used"].alias("used"),
+                    none.alias("done"),
+                ),
+                lambda now, t: _advance(now, t, system, budget),
+            ).alias("now"),
+            F.concat(acc["all"], F.array(acc["now"]["done"])).alias("all"),
+        ),
+        lambda acc: F.concat(
+            acc["all"], F.array(acc["now"]["done"], F.array(_window(acc["now"])))
         ),
-        lambda acc, t: _advance(acc, t, system, budget),
-        lambda acc: acc["starts"],
     )
+    return F.flatten(whole)
 
 
-def _advance(acc: Column, tokens: Column, system: Column, budget: int) -> Column:
-    reserved = F.when(acc["start"] > 0, system).otherwise(F.lit(0))
-    new = (acc["i"] > 0) & (acc["used"] + tokens + reserved > budget)
-    start = F.when(new, acc["i"]).otherwise(acc["start"])
+def _window(now: Column) -> Column:
     return F.struct(
-        (acc["i"] + 1).alias("i"),
-        start.alias("start"),
-        F.when(new, tokens).otherwise(acc["used"] + tokens).alias("used"),
-        F.concat(acc["starts"], F.array(start)).alias("starts"),
+        now["start"].alias("start"),
+        (now["i"] - now["start"]).alias("own"),
+        now["used"].alias("used"),
+    )
+
+
+def _advance(now: Column, tokens: Column, system: Column, budget: int) -> Column:
+    reserved = F.when(now["start"] > 0, system).otherwise(F.lit(0))
+    new = (now["i"] > 0) & (now["used"] + tokens + reserved > budget)
+    return F.struct(
+        (now["i"] + 1).alias("i"),
+        F.when(new, now["i"]).otherwise(now["start"]).alias("start"),
+        F.when(new, tokens).otherwise(now["used"] + tokens).alias("used"),
+        F.when(new, F.concat(now["done"], F.array(_window(now)))).otherwise(now["done"]).alias(
+            "done"
+        ),
     )
 
 
@@ -101,72 +136,107 @@ def format_chat(
     Every window after the first repeats the conversation's system turn (if its first turn is one)
     and, while they fit, up to `history` turns before its own; repeated turns are masked.
     """
-    turn = F.struct(
-        F.col("turn").alias("turn"),
-        F.coalesce("role", F.lit("")).alias("role"),
-        F.coalesce("text", F.lit("")).alias("text"),
-    )
-    turns = conversations.select("conv_id", turn.alias("t")).groupBy("conv_id").agg(
-        F.sort_array(F.collect_list("t")).alias("turns")
+    order = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
+    turns = (
+        conversations.select(
+            "conv_id",
+            "turn",
+            F.coalesce("role", F.lit("")).alias("role"),
+            F.coalesce("text", F.lit("")).alias("text"),
+        )
+        .withColumn("place", F.row_number().over(order) - 1)
+        .select("conv_id", "place", "role", "text", estimated_tokens(F.col("text")).alias("tokens"))
     )
-    sized = turns.select(
+    # Of a whole conversation only token counts meet in one row.
+    counts = turns.groupBy("conv_id").agg(
+        F.sort_array(F.collect_list(F.struct("place", "tokens"))).alias("turns"),
+        F.max((F.col("place") == 0) & (F.col("role") == "system")).alias("system"),
+    ).select(
         "conv_id",
-        F.transform(
-            "turns",
-            lambda t: F.struct(
-                t["role"].alias("role"),
-                F.concat(
-                    F.lit(OPEN), escape_role(t["role"]), F.lit(OPEN_END), escape(t["text"]),
-                    F.lit(CLOSE),
-                ).alias("body"),
-                (F.length(escape_role(t["role"])) + len(OPEN) + len(OPEN_END)).alias("head"),
-                F.length(escape(t["text"])).alias("size"),
-                estimated_tokens(t["text"]).alias("tokens"),
-            ),
-        ).alias("turns"),
-    ).withColumn(
-        "system", F.when(F.col("turns")[0]["role"] == "system", F.col("turns")[0]["tokens"])
+        F.transform("turns", lambda t: t["tokens"]).alias("tokens"),
+        F.when(F.col("system"), F.col("turns")[0]["tokens"]).alias("system"),
     )
-    started = sized.withColumn(
-        "starts",
-        spans(F.transform("turns", lambda t: t["tokens"]), F.coalesce("system", F.lit(0)), budget),
+    started = counts.withColumn(
+        "spans", spans(F.col("tokens"), F.coalesce("system", F.lit(0)), budget)
     )
+    first_free = F.when(F.col("system").isNotNull(), 1).otherwise(0)
+
+    def back(w: Column) -> Column:
+        """The longest run of turns just before the window, at most `history`, that fits the room."""
+        reserved = F.when(w["start"] > 0, F.coalesce("system", F.lit(0))).otherwise(F.lit(0))
+        room = F.lit(budget) - w["used"] - reserved
+        fits = [
+            F.when(
+                (w["start"] - first_free >= k)
+                & (
+                    F.aggregate(
+                        F.slice("tokens", F.greatest(w["start"] + 1 - k, F.lit(1)), k),
+                        F.lit(0).cast("long"),
+                        lambda a, t: a + t,
+                    )
+                    <= room
+                ),
+                F.lit(k),
+            )
+            for k in range(1, history + 1)
+        ]
+        return F.greatest(F.lit(0), F.lit(0), *fits)
+
     windows = started.select(
-        "conv_id", "turns", "system", "starts",
-        F.posexplode(F.array_distinct("starts")).alias("window", "start"),
-    ).withColumn(
-        "own", F.size(F.filter("starts", lambda s: s == F.col("start")))
+        "conv_id",
+        F.posexplode(
+            F.transform(
+                "spans",
+                lambda w: F.struct(
+                    w["start"].alias("start"),
+                    w["own"].alias("own"),
+                    back(w).alias("back"),
+                    ((w["start"] > 0) & F.col("system").isNotNull()).alias("system"),
+                ),
+            )
+        ).alias("window", "w"),
     )
-    own = F.slice("turns", F.col("start") + 1, F.col("own"))
-    empty = F.slice("turns", 1, 0)
-    system = F.when(
-        (F.col("start") > 0) & F.col("system").isNotNull(), F.slice("turns", 1, 1)
-    ).otherwise(empty)
-    own_tokens = F.aggregate(own, F.lit(0).cast("long"), lambda a, t: a + t["tokens"])
-    system_tokens = F.when(F.col("start") > 0, F.coalesce("system", F.lit(0))).otherwise(F.lit(0))
-    windows = windows.withColumn("room", F.lit(budget) - own_tokens - system_tokens)
-    first_free = F.when(F.col("system").isNotNull(), 1).otherwise(0)
-    # The longest run of turns just before the window, at most `history`, that fits the room.
-    fits = [
-        F.when(
-            (F.col("start") - first_free >= k)
-            & (
-                F.aggregate(
-                    F.slice("turns", F.greatest(F.col("start") + 1 - k, F.lit(1)), k),
-                    F.lit(0).cast("long"),
-                    lambda a, t: a + t["tokens"],
-                )
-                <= F.col("room")
-            ),
-            F.lit(k),
+    # One row per window and shown turn: the system turn, what is repeated, its own turns.
+    shown = windows.select(
+        "conv_id",
+        "window",
+        F.col("w.start").alias("start"),
+        F.explode(
+            F.concat(
+                F.when(F.col("w.system"), F.array(F.lit(0))).otherwise(
+                    F.array().cast("array<int>")
+                ),
+                F.sequence(
+                    F.col("w.start") - F.col("w.back"), F.col("w.start") + F.col("w.own") - 1
+                ),
+            )
+        ).alias("place"),
+    )
+    formatted = turns.select(
+        F.col("conv_id").alias("of"),
+        F.col("place").alias("at"),
+        "role",
+        F.concat(
+            F.lit(OPEN), escape_role(F.col("role")), F.lit(OPEN_END), escape(F.col("text")),
+            F.lit(CLOSE),
+        ).alias("body"),
+        (F.length(escape_role(F.col("role"))) + len(OPEN) + len(OPEN_END)).alias("head"),
+        F.length(escape(F.col("text"))).alias("size"),
+        "tokens",
+    )
+    gathered = (
+        shown.join(
+            formatted, F.col("conv_id").eqNullSafe(F.col("of")) & (F.col("place") == F.col("at"))
         )
-        for k in range(1, history + 1)
-    ]
-    back = F.greatest(F.lit(0), F.lit(0), *fits) if fits else F.lit(0)
-    windows = windows.withColumn("back", back)
-    past = F.slice("turns", F.greatest(F.col("start") + 1 - F.col("back"), F.lit(1)), F.col("back"))
-    windows = windows.withColumn("context", F.concat(system, past)).withColumn(
-        "shown", F.concat("context", own)
+        .groupBy("conv_id", "window", "start")
+        .agg(
+            F.sort_array(
+                F.collect_list(F.struct("place", "role", "body", "head", "size", "tokens"))
+            ).alias("shown")
+        )
+    )
+    windows = gathered.withColumn(
+        "context", F.filter("shown", lambda t: t["place"] < F.col("start"))
     )
     flagged = F.transform(
         "shown",

@@ -1,4 +1,5 @@
 import hashlib
+import re
 from collections import defaultdict
 
 from casemart.llm import chat
@@ -60,6 +61,42 @@ def test_windows_keep_the_budget_and_repeat_masked_context(spark):
     assert system and all(w.text.startswith("<turn system>") for w in system)
 
 
+def test_a_long_conversation_is_not_copied_per_window(spark, plan):
+    n = 3 * chat.PIECE + 5
+    rows = [(1, t, "system" if t == 0 else "user" if t % 2 else "assistant", "w " * (t % 7 + 1))
+            for t in range(n)]
+    rows += [(None, t, "assistant", "w " * (t % 5)) for t in range(n)]
+    frame = spark.createDataFrame([(*r, "w", "t") for r in rows], SCHEMA)
+    cost = lambda text: len(text.split()) + chat.OVERHEAD_TOKENS
+    got = defaultdict(list)
+    for w in chat.format_chat(frame, budget=30, history=2).collect():
+        got[w.conv_id].append(w)
+    for conv in (1, None):
+        turns = [(role, text) for c, _, role, text in rows if c == conv]
+        system = cost(turns[0][1]) if conv else 0
+        starts, used = [0], 0
+        for i, (_, text) in enumerate(turns):
+            if i and used + cost(text) + (system if starts[-1] else 0) > 30:
+                starts.append(i)
+                used = 0
+            used += cost(text)
+        want = []
+        for a, b in zip(starts, [*starts[1:], n]):
+            size = lambda x, y: sum(cost(t) for _, t in turns[x:y])
+            room = 30 - size(a, b) - (system if a else 0)
+            k = max(k for k in range(3) if k == 0 or (
+                a - bool(system) >= k and size(a - k, a) <= room))
+            shown = [0] * bool(a and system) + list(range(a - k, b))
+            want.append("".join(f"<turn {turns[i][0]}>{turns[i][1]}</turn>\n" for i in shown))
+        assert [w.text for w in sorted(got[conv], key=lambda w: w.window)] == want
+    # What an exploded row carries along is no array of turns.
+    carried = re.findall(r"\), \[([^\]]*)\], (?:true|false), \[", plan(chat.format_chat(frame)))
+    assert carried and all(
+        set(re.sub(r"#\d+L?", "", c).split(", ")) <= {"conv_id", "window", "start", "w"}
+        for c in carried
+    )
+
+
 def test_lengths_formatted_and_plan(spark, plan):
     _, frame = table(spark)
     lengths = {}
