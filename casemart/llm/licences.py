@@ -9,10 +9,17 @@ these size bounds are never compared.
 Defined cases: a null or empty text has no units; lines of fewer than two words have no bigrams and
 match nothing; ties go to the template that comes first by name, then to the earlier unit; repeated
 rows give repeated results; an empty table an empty one; columns of other names are ignored.
+
+`notices` also finds what is wrapped over lines or stands inside longer ones: of all runs of words
+in a text, across line breaks, whose bigrams number at most those of the upper size bound, the best
+one per template. Such a run shares at least t / (2 - t) of the template's bigrams, and the best one
+starts and ends with a shared one; so most texts drop out on their set of bigrams, and only
+runs between shared bigrams are compared.
 """
 
 from __future__ import annotations
 
+import math
 import re
 
 from pyspark.sql import Column, DataFrame
@@ -20,6 +27,8 @@ from pyspark.sql import functions as F
 
 THRESHOLD = 0.8
 
+NOTICE = "doc_id long, license string, score double, line long, words long"
+
 # Licence notices and short licence texts: fixed values.
 TEMPLATES = {
     "apache-2.0": "Licensed under the Apache License, Version 2.0.",
@@ -74,9 +83,13 @@ def template_bigrams(text: str) -> list[str]:
     return sorted({f"{a} {b}" for a, b in zip(words, words[1:])})
 
 
+def words_of(unit: Column) -> Column:
+    return F.split(F.trim(F.regexp_replace(F.lower(unit), "[^a-z0-9]+", " ")), " ")
+
+
 def bigrams(unit: Column) -> Column:
     """The distinct bigrams of a unit, as an array of text."""
-    words = F.split(F.trim(F.regexp_replace(F.lower(unit), "[^a-z0-9]+", " ")), " ")
+    words = words_of(unit)
     return F.array_distinct(
         F.zip_with(
             F.slice(words, 1, F.size(words) - 1),
@@ -191,6 +204,125 @@ def digest(docs: DataFrame) -> DataFrame:
     )
 
 
+def notices(
+    docs: DataFrame, templates: dict[str, str] | None = None, threshold: float = THRESHOLD
+) -> DataFrame:
+    """One row per row and template that a run of words reaches: doc_id, license, score, line, words.
+
+    The run is the template's best, then its earliest, then its shortest; line, from 0, is where it
+    starts.
+    """
+    templates = TEMPLATES if templates is None else templates
+    grams = {name: template_bigrams(templates[name]) for name in sorted(templates)}
+    grams = {name: g for name, g in grams.items() if g}
+    if not grams:
+        return docs.sparkSession.createDataFrame([], NOTICE)
+    ratio = threshold / (2 - threshold)
+    known = F.array(
+        *(
+            F.struct(
+                F.lit(name).alias("name"),
+                F.lit(len(g)).alias("size"),
+                # Shared bigrams that a match has at least, and bigrams that a run has at most.
+                F.lit(max(1, math.ceil(len(g) * ratio - 1e-9))).alias("least"),
+                F.lit(math.floor(len(g) / ratio + 1e-9)).alias("most"),
+                F.split(F.lit("|".join(g)), r"\|").alias("grams"),
+            )
+            for name, g in grams.items()
+        )
+    )
+    every = F.split(F.lit("|".join(sorted({x for g in grams.values() for x in g}))), r"\|")
+    # The shared bigrams are read twice, so that they are found once per text.
+    asked = docs.select(
+        "doc_id", "text", F.array_intersect(bigrams(F.col("text")), every).alias("shared")
+    ).select(
+        "doc_id",
+        "text",
+        F.explode(
+            F.when(
+                F.size("shared") > 0,
+                F.filter(
+                    known,
+                    lambda t: F.size(F.array_intersect(t["grams"], F.col("shared"))) >= t["least"],
+                ),
+            )
+        ).alias("t"),
+    )
+    placed = asked.select(
+        "doc_id",
+        "t",
+        F.flatten(
+            F.transform(
+                F.split("text", "\n", -1),
+                lambda line, i: F.transform(
+                    F.filter(words_of(line), lambda w: w != ""),
+                    lambda w: F.struct(i.alias("line"), w.alias("word")),
+                ),
+            )
+        ).alias("words"),
+    )
+    paired = placed.select(
+        "doc_id",
+        "t",
+        F.transform("words", lambda w: w["line"]).alias("lines"),
+        F.zip_with(
+            F.slice("words", 1, F.size("words") - 1),
+            F.slice("words", 2, F.size("words") - 1),
+            lambda a, b: F.concat(a["word"], F.lit(" "), b["word"]),
+        ).alias("grams"),
+    )
+    # Places of the shared bigrams.
+    hit = paired.withColumn(
+        "hits",
+        F.filter(
+            F.transform(
+                "grams", lambda g, k: F.when(F.array_contains(F.col("t.grams"), g), k)
+            ),
+            lambda k: k.isNotNull(),
+        ),
+    )
+
+    def run(start: Column, end: Column) -> Column:
+        """(-score, start, end) of the run between two places; its bigrams are made once."""
+        own = F.array_distinct(F.slice("grams", start + 1, end - start + 1))
+        return F.transform(
+            F.array(own),
+            lambda g: F.struct(
+                (
+                    -2.0
+                    * F.size(F.array_intersect(g, F.col("t.grams")))
+                    / (F.size(g) + F.col("t.size"))
+                ).alias("s"),
+                start.alias("start"),
+                end.alias("end"),
+            ),
+        )[0]
+
+    least, most = F.col("t.least"), F.col("t.most")
+    # A start's ends: at least `least` shared bigrams and at most `most` bigrams further on.
+    runs = F.transform(
+        "hits",
+        lambda start, i: F.transform(
+            F.filter(
+                F.slice("hits", i + least, most - least + 1), lambda end: end - start < most
+            ),
+            lambda end: run(start, end),
+        ),
+    )
+    best = hit.select("doc_id", "t", "lines", F.array_min(F.flatten(runs)).alias("best"))
+    return best.filter(-F.col("best.s") >= threshold).select(
+        "doc_id",
+        F.col("t.name").alias("license"),
+        (-F.col("best.s")).alias("score"),
+        F.get("lines", F.col("best.start")).cast("long").alias("line"),
+        (F.col("best.end") - F.col("best.start") + 2).cast("long").alias("words"),
+    )
+
+
+def notice_digest(docs: DataFrame) -> DataFrame:
+    return notices(docs.select(F.col("doc_id").cast("long"), "text"))
+
+
 def oracle() -> str:
     """`digest` in DuckDB SQL, from the templates' own texts."""
     quoted = ", ".join(

@@ -37,6 +37,7 @@ def on(name: str, plan: Callable[[DataFrame], DataFrame]) -> Query:
 def llm_queries() -> dict[str, Query]:
     return {
         "op1_license_scan": on("documents", licences.digest),
+        "op1_license_notices": on("documents", licences.notice_digest),
         "op2_quality": lambda spark, sf_dir: quality.digest(
             table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
         ),
