@@ -181,25 +181,32 @@ def train(docs: DataFrame, learn: Column, train_docs: int = TRAIN_DOCS,
 
 
 def label_texts(texts: list[str], model: Model, words: Words):
-    """Mean marginals of each text over its words (texts x languages), and its words."""
+    """Of each text over its words: mean marginals (texts x languages), mean largest marginal, count."""
     text, streams = words.features(texts)
     counts = np.bincount(text, minlength=len(texts))
     means = np.zeros((len(texts), len(model.languages)))
+    sure = np.zeros(len(texts))
     if len(text):
         first = np.append(True, text[1:] != text[:-1])
         marginals, _ = chain_marginals(model.scores(streams), first, model.moves, model.opening)
         for label in range(means.shape[1]):
             sums = np.bincount(text, weights=marginals[:, label], minlength=len(texts))
             means[:, label] = sums / np.maximum(counts, 1)
-    return means, counts
+        sums = np.bincount(text, weights=marginals.max(axis=1), minlength=len(texts))
+        sure = sums / np.maximum(counts, 1)
+    return means, sure, counts
 
 
 def predict(docs: DataFrame, model: Model | None, letter_bits: np.ndarray,
             keep: tuple[str, ...] = ()) -> DataFrame:
-    """The columns `keep`, lang_pred, score and n_words of every row."""
+    """The columns `keep`, lang_pred, score, n_words and certainty of every row.
+
+    score is the share of the text that its language has; certainty, the mean of each word's largest
+    marginal, is also high where clear words of several languages take turns.
+    """
     # The text goes to the tasks once, whether it is kept or not.
     others = [c for c in keep if c != "text"]
-    names = [*(f"_{c}" for c in others), "lang_pred", "score", "n_words"]
+    names = [*(f"_{c}" for c in others), "lang_pred", "score", "n_words", "certainty"]
     names += ["_text"] if "text" in keep else []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -207,29 +214,32 @@ def predict(docs: DataFrame, model: Model | None, letter_bits: np.ndarray,
         for batch in batches:
             texts = [t or "" for t in batch.column(0).to_pylist()]
             sizes = np.cumsum([0, *map(len, texts)])
-            found, score, count = [], [], []
+            found, score, count, certainty = [], [], [], []
             for lo, hi in slices(sizes, BATCH_CHARS):
                 if model is None:
                     means, n = np.zeros((hi - lo, 1)), np.zeros(hi - lo, dtype=np.int64)
+                    sure = np.zeros(hi - lo)
                 else:
-                    means, n = label_texts(texts[lo:hi], model, words)
+                    means, sure, n = label_texts(texts[lo:hi], model, words)
                 best = means.argmax(axis=1)
                 found += [model.languages[b] if c else UNKNOWN for b, c in zip(best, n)]
                 score += np.where(n > 0, means.max(axis=1), 0.0).clip(0, 1).tolist()
                 count += n.tolist()
+                certainty += sure.clip(0, 1).tolist()
             yield pa.record_batch(
                 [*batch.columns[1:], pa.array(found, pa.string()), pa.array(score, pa.float64()),
-                 pa.array(count, pa.int64()), *(batch.columns[:1] if "text" in keep else [])],
+                 pa.array(count, pa.int64()), pa.array(certainty, pa.float64()),
+                 *(batch.columns[:1] if "text" in keep else [])],
                 names=names,
             )
 
     rows = docs.select("text", *(F.col(c).alias(f"_{c}") for c in others))
     kinds = dict(rows.dtypes)
     schema = "".join(f"`_{c}` {kinds[f'_{c}']}, " for c in others)
-    schema += "lang_pred string, score double, n_words long"
+    schema += "lang_pred string, score double, n_words long, certainty double"
     out = rows.mapInArrow(run, schema + (", `_text` string" if "text" in keep else ""))
     return out.select(
-        *(F.col(f"_{c}").alias(c) for c in keep), "lang_pred", "score", "n_words"
+        *(F.col(f"_{c}").alias(c) for c in keep), "lang_pred", "score", "n_words", "certainty"
     )
 
 
@@ -245,4 +255,4 @@ def digest(docs: DataFrame) -> DataFrame:
     )
     learn = ~F.col("held_out") & F.col("doc_id").isNotNull()
     model, letter_bits = train(rows, learn)
-    return predict(rows, model, letter_bits, ("doc_id", "held_out"))
+    return predict(rows, model, letter_bits, ("doc_id", "held_out")).drop("certainty")

@@ -25,11 +25,11 @@ from casemart.llm.common import table
 from casemart.llm.queries import tokenizer_path
 from casemart.sources import shared_dir, write_and_read
 
-LEAST_SCORE = 0.5  # mean word marginal that a text's language needs
+LEAST_SCORE = 0.5  # mean over the words of the largest marginal that a text needs
 
 
 def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is clear, with the label predicted for them."""
+    """Documents whose words have clear languages, with the label of the largest share."""
     columns = docs.columns
     learn = ~language.held_out(2, 4) & F.col("doc_id").isNotNull()
     model, letter_bits = language.train(docs, learn)
@@ -38,7 +38,7 @@ def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
         docs.select("text", others.alias("_columns")), model, letter_bits, ("text", "_columns")
     )
     kept = labelled.filter(
-        (F.col("lang_pred") != language.UNKNOWN) & (F.col("score") >= LEAST_SCORE)
+        (F.col("lang_pred") != language.UNKNOWN) & (F.col("certainty") >= LEAST_SCORE)
     )
     return kept.select(
         *(

@@ -22,6 +22,18 @@ def test_language_keeps_texts_with_letters(spark, sf_dir):
     assert documents(out) == documents(docs)
 
 
+def test_language_keeps_an_even_mix_of_languages(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    by_lang = {}
+    plain = docs.filter("lang is not null and n_chars between 300 and 4000")
+    for r in plain.orderBy("doc_id").collect():
+        by_lang.setdefault(r.lang, []).extend(r.text.split())
+    parts = [by_lang[lang] for lang in sorted(by_lang)[:3]]
+    mixed = " ".join(" ".join(p[i : i + 20]) for i in range(0, 120, 20) for p in parts)
+    extra = spark.createDataFrame([(-5, mixed, None, "s", len(mixed))], docs.schema)
+    assert -5 in documents(cp.keep_languages(spark, docs.unionByName(extra), sf_dir))
+
+
 def test_near_copies_leave_the_first(spark, messy, texts):
     out = cp.keep_one_copy(spark, messy, "")
     assert out.columns == messy.columns
