@@ -15,8 +15,11 @@ from casemart.llm import (
     neighbours,
     packing,
     quality,
+    repair,
+    sharding,
     simhash,
     suffixes,
+    variants,
 )
 from casemart.llm.common import table
 
@@ -49,4 +52,7 @@ def llm_queries() -> dict[str, Query]:
         "op8_jaccard_join": on("documents", jaccard.digest),
         "op9_packing": on("documents", lambda docs: packing.digest(docs, tokenizer_path())),
         "op10_suffix_dedup": on("documents", suffixes.digest),
+        "op11_spelling_variants": on("documents", variants.digest),
+        "op12_conversation_repair": on("conversations", repair.digest),
+        "op13_sharding": on("documents", sharding.digest),
     }

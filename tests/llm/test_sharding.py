@@ -1,0 +1,85 @@
+import zlib
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from casemart.llm import sharding
+
+
+def check(out, texts, shards=sharding.SHARDS):
+    rows = out.collect()
+    assert Counter((r.doc_id, r.size, r.text_crc32) for r in rows) == Counter(
+        (i, len((t or "").encode()) + 8, zlib.crc32((t or "").encode())) for i, t in texts
+    )
+    slots = {}
+    for r in rows:
+        slots.setdefault(r.shard, []).append(r.slot)
+    counts = [len(slots.get(s, [])) for s in range(shards)]
+    assert max(counts) - min(counts) <= 1 and set(slots) <= set(range(shards))
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    assert {(r.law, r.grown_shard) for r in rows} <= {("rows", None)}
+    return rows
+
+
+def test_messy_rows(messy, texts):
+    check(sharding.digest(messy), texts)
+
+
+def test_runs_over_the_same_files_agree(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    texts = [(r.doc_id, r.text) for r in docs.collect()]
+    first = check(sharding.digest(docs), texts)
+    assert sorted(first) == sorted(sharding.digest(docs).collect())
+
+
+@pytest.mark.parametrize("wide", [3, 8])
+def test_large_groups_spread(spark, tmp_path, wide):
+    """A third of all rows equal in every column, another third of one id."""
+    rows = spark.range(6000).select(
+        F.when(F.col("id") % 3 == 0, 5).when(F.col("id") % 3 == 1, 6).otherwise(F.col("id")).alias("doc_id"),
+        F.when(F.col("id") % 3 == 0, "same").otherwise(F.col("id").cast("string")).alias("text"),
+        F.col("id").alias("shard"), F.lit(1).alias("mark"), F.lit(2).alias("bad.name x"),
+    ).withColumn("shard", F.when(F.col("doc_id") == 5, 0).otherwise(F.col("shard")))
+    rows.write.parquet(str(tmp_path / "in"))
+    docs = spark.read.parquet(str(tmp_path / "in"))
+    spark.conf.set("spark.sql.shuffle.partitions", wide)
+    try:
+        out = sharding.write_shards(docs, str(tmp_path / "out"), shards=10, bucket_bytes=4096)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", 8)
+    assert out.select("record.*").exceptAll(docs).count() == 0
+    assert docs.exceptAll(out.select("record.*")).count() == 0
+    per = out.groupBy("shard").agg(F.count("*").alias("n"), F.count_if("record.doc_id = 5").alias("hot"))
+    assert all(r.n == 600 and 140 < r.hot < 260 for r in per.collect())
+
+
+def test_places_are_uniform(spark, tmp_path):
+    """The order that comes out says nothing about the order that went in."""
+    spark.range(20_000).select(F.col("id").alias("doc_id"), F.lit("t").alias("text")).write.parquet(str(tmp_path / "in"))
+    docs = spark.read.parquet(str(tmp_path / "in"))
+    out = sharding.write_shards(docs, str(tmp_path / "a"), shards=4)
+    place = out.select("record.doc_id", (F.col("shard") * 5000 + F.col("slot")).alias("at"))
+    assert abs(place.stat.corr("doc_id", "at")) < 0.03
+    cells = place.groupBy(F.floor(F.col("doc_id") / 1000), F.floor(F.col("at") / 1000)).count()
+    counts = [r["count"] for r in cells.collect()]
+    assert len(counts) == 400 and sum((c - 50) ** 2 / 50 for c in counts) < 520  # 361 on average
+    other = sharding.write_shards(docs, str(tmp_path / "b"), shards=4, seed=1)
+    moved = other.select("record.doc_id", (F.col("shard") * 5000 + F.col("slot")).alias("to"))
+    assert abs(place.join(moved, "doc_id").stat.corr("at", "to")) < 0.03
+
+
+def test_offsets_over_several_chunks(spark):
+    counts = spark.range(10_000).select(F.col("id").alias("bucket"), (F.col("id") % 7).alias("rows"))
+    total = 0
+    for r in sharding.with_offsets(counts).orderBy("bucket").collect():
+        assert r.offset == total
+        total += r.rows
+
+
+def test_empty_few_and_plan(no_docs, spark, plan):
+    assert sharding.digest(no_docs).count() == 0
+    few = spark.createDataFrame([(1, "a"), (None, None)], "doc_id long, text string")
+    check(sharding.digest(few), [(1, "a"), (None, None)])
+    text = plan(sharding.digest(few))
+    assert "Python" not in text
