@@ -2,8 +2,9 @@
 
 Built-in functions only. Every word of a text votes on 64 signed bits with the bits of its hash;
 its weight is its length less two (1 to 8), so the long, rare words outvote the short, common ones.
-Votes are counted in sums: four 16-bit counters share a long, and `CHUNK` words at most go into
-one partial sum, so that no counter can overflow and a long text is many small groups.
+Votes are counted in sums: four 16-bit counters share a signed long, and `CHUNK` words at most go into
+one partial sum. Its counters stay below 2**15, so the highest one never reaches the sign and no
+sum overflows; a long text is many small groups.
 
 Defined cases: a null or empty text, or one of white space, has the fingerprint 0; equal texts have
 equal fingerprints, whatever else their rows hold; repeated rows are fingerprinted once per row;
@@ -21,7 +22,7 @@ from casemart.llm.common import SPACE, partitions, written
 
 LANES = 0x0001000100010001  # one bit of each of four 16-bit counters
 WEIGHT_MAX = 8
-CHUNK = 8000  # words of weight 8 that a 16-bit counter holds
+CHUNK = 4095  # words of weight 8 that a counter of 15 bits holds: 32,760 votes
 BLOCKS, SHARED = 5, 2  # blocks of the permuted tables; blocks that a pair must share
 
 
@@ -114,7 +115,7 @@ def within_radius(queries: DataFrame, corpus: DataFrame, radius: int = 3) -> Dat
 
 
 def with_next_text(docs: DataFrame, block_rows: int = 4096) -> DataFrame:
-    """Each document with the id and text of the next one in descending doc_id (cyclic).
+    """Each document with the place and text of the next one in descending doc_id (cyclic).
 
     The order is cut into blocks at quantiles of doc_id. Inside a block a window finds the next
     row; only the first row of every block has to cross, in a table of one row per block.
@@ -138,32 +139,30 @@ def with_next_text(docs: DataFrame, block_rows: int = 4096) -> DataFrame:
     linked = rows.select(
         "doc_id", "text", "block",
         F.row_number().over(inside).alias("place"),
-        F.lead("doc_id").over(inside).alias("next_id"),
         F.lead("text").over(inside).alias("next_text"),
         F.lead(F.lit(True)).over(inside).alias("has_next"),
     )
     # One row per block: its first document, which follows the last one of the block before.
     firsts = rows.groupBy("block").agg(
         F.min_by(
-            F.struct("doc_id", "text"), F.struct(-F.coalesce("doc_id", F.lit(0)), F.sha2("text", 256))
-        ).alias("first")
+            "text", F.struct(F.col("doc_id").isNull(), -F.coalesce("doc_id", F.lit(0)), F.sha2("text", 256))
+        ).alias("text")
     )
     across = Window.orderBy(F.col("block").desc())
+    after = F.struct("block", "text")
     ring = firsts.select(
         "block",
-        F.coalesce(
-            F.lead("first").over(across), F.first("first").over(across)
-        ).alias("head"),
+        F.coalesce(F.lead(after).over(across), F.first(after).over(across)).alias("head"),
     )
+    has_next = F.col("has_next").isNotNull()
     return linked.join(ring, "block").select(
         "block",
         "place",
         "doc_id",
         "text",
-        F.when(F.col("has_next"), F.col("next_id")).otherwise(F.col("head.doc_id")).alias("next_id"),
-        F.when(F.col("has_next"), F.col("next_text")).otherwise(F.col("head.text")).alias(
-            "next_text"
-        ),
+        F.when(has_next, F.col("block")).otherwise(F.col("head.block")).alias("next_block"),
+        F.when(has_next, F.col("place") + 1).otherwise(1).alias("next_place"),
+        F.when(has_next, F.col("next_text")).otherwise(F.col("head.text")).alias("next_text"),
     )
 
 
@@ -180,9 +179,9 @@ def digest(docs: DataFrame, radius: int = 3) -> DataFrame:
         F.substr("text", F.lit(1), chars - half), F.substr("next_text", F.lit(1), half)
     )
     # (block, place) keeps equal rows apart, in the result and in the counters.
-    keys = ["block", "place", "doc_id", "next_id", "n_chars", "edited_sha256"]
+    keys = ["block", "place", "doc_id", "next_block", "next_place", "n_chars", "edited_sha256"]
     sides = (
-        linked.select("block", "place", "doc_id", "next_id", chars.cast("long").alias("n_chars"), "text",
+        linked.select(*keys[:5], chars.cast("long").alias("n_chars"), "text",
                       edited.alias("edited"))
         .withColumn("edited_sha256", F.sha2("edited", 256))
         .select(*keys, F.posexplode(F.array("text", "edited")).alias("side", "text"))
@@ -196,7 +195,10 @@ def digest(docs: DataFrame, radius: int = 3) -> DataFrame:
         ),
         "simhash",
     )
-    by_id = prints.groupBy(F.col("doc_id").alias("next_id")).agg(F.min("own").alias("next_own"))
+    following = prints.select(
+        F.col("block").alias("next_block"), F.col("place").alias("next_place"),
+        F.col("own").alias("next_own"),
+    )
     counts = prints.groupBy(F.col("own").alias("found")).agg(F.count(F.lit(1)).alias("rows"))
     corpus = counts.select(F.col("found").alias("fingerprint"))
     asked = prints.filter("doc_id % 20 = 0").select(F.col("own").alias("fingerprint")).distinct()
@@ -211,8 +213,7 @@ def digest(docs: DataFrame, radius: int = 3) -> DataFrame:
     )
     text_hex = lambda c: F.lpad(F.lower(F.hex(c)), 16, "0")
     return (
-        prints.join(by_id, prints["next_id"].eqNullSafe(by_id["next_id"]), "left")
-        .drop(by_id["next_id"])
+        prints.join(following, ["next_block", "next_place"])
         .join(near, "own", "left")
         .select(
             "doc_id",

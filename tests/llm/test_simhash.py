@@ -1,6 +1,8 @@
 import hashlib
 import random
 
+import pytest
+
 from casemart.llm import simhash
 
 
@@ -40,6 +42,40 @@ def test_votes_match_a_plain_count(spark):
     assert got.fingerprint & (2**64 - 1) == sum(1 << b for b in range(64) if votes[b] > 0)
 
 
+@pytest.mark.parametrize("times", [3000, 4095, 4096, 8000, 100_000])
+def test_one_heavy_word_repeated(spark, times):
+    """All votes of a chunk go to the same bits, the highest counters and the sign's among them."""
+    words = [f"heavyword{i:02d}" for i in range(24)]
+    frame = spark.createDataFrame([(w, f"{w} " * times) for w in words], "w string, text string")
+    got = {r.w: r.fingerprint for r in simhash.fingerprints(frame, ["w"]).collect()}
+    want = {r.w: r.h for r in frame.selectExpr("w", "xxhash64(w) h").collect()}
+    assert got == want
+
+
+def test_next_and_near_against_plain_counts(spark, messy):
+    """Shared and null ids included: the next row is a row, and near rows are counted one by one."""
+    out = simhash.digest(messy).collect()
+    mask = (1 << 64) - 1
+    prints = [int(r.fingerprint, 16) & mask for r in out]
+    for r, p in zip(out, prints):
+        if r.doc_id is not None and r.doc_id % 20 == 0:
+            assert r.n_near == sum((p ^ q).bit_count() <= 3 for q in prints) - 1
+        else:
+            assert r.n_near is None
+    texts = sorted(
+        ((i, t or "") for i, t in messy.select("doc_id", "text").collect()),
+        key=lambda r: (r[0] is None, -(r[0] or 0), hashlib.sha256(r[1].encode()).hexdigest()),
+    )
+    by_text = {}
+    for r in simhash.fingerprints(messy, ["text"]).collect():
+        by_text[r.text or ""] = r.fingerprint & mask
+    want = sorted(
+        (str(i), len(t), 1 - (by_text[t] ^ by_text[texts[(n + 1) % len(texts)][1]]).bit_count() / 64)
+        for n, (i, t) in enumerate(texts)
+    )
+    assert sorted((str(r.doc_id), r.n_chars, r.near_next) for r in out) == want
+
+
 def test_repeated_rows_stay_apart(spark):
     long_text = " ".join(f"word{i:09d}" for i in range(8000))  # fills the counters of one row
     rows = [(1, "same words here")] * 5 + [(2, long_text)] * 4 + [(3, long_text)]
