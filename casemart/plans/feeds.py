@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from casemart.functions import band_start, month_label
 from casemart.operators import long_form, matrix, merge_null_safe, sort_nulls_last
@@ -85,17 +85,32 @@ def monthly_rate(layers: Layers) -> DataFrame:
     return mart.dropna(subset=["mes"]).orderBy("mes")
 
 
-def province_month_matrix(layers: Layers) -> DataFrame:
-    """Provinces by the months that occur, with 0 for gaps.
-
-    The months are read from the stored mart: one value per calendar month with a case.
-    """
+def _province_months(layers: Layers) -> tuple[DataFrame, list[str]]:
+    """The cells, and the months that occur: one value per calendar month with a case."""
     cells = stored(layers, "casos_provincia_mes").dropna(subset=["mes", "provincia_nombre"])
+    return cells, sorted(r[0] for r in cells.select(month_label("mes")).distinct().collect())
+
+
+def province_month_matrix(layers: Layers) -> DataFrame:
+    """Provinces by the months that occur, with 0 for gaps."""
+    cells, months = _province_months(layers)
     label = month_label("mes")
-    months = sorted(r[0] for r in cells.select(label).distinct().collect())
     return matrix(cells, "provincia_nombre", label, months, "total_casos", "total_casos")
 
 
+def province_month_cells(layers: Layers) -> DataFrame:
+    """The matrix in long form, for any number of months: (provincia_nombre, mes, casos,
+    total_casos, orden), where `orden` numbers the provinces by their total."""
+    wide = province_month_matrix(layers)
+    ids = ["provincia_nombre", "total_casos"]
+    months = [c for c in wide.columns if c not in ids]
+    heaviest = Window.orderBy(F.desc("total_casos"), "provincia_nombre")
+    if not months:
+        wide, months = wide.withColumn("-", F.lit(0).cast("long")), ["-"]
+    numbered = wide.withColumn("orden", F.row_number().over(heaviest))
+    return numbered.unpivot([*ids, "orden"], months, "mes", "casos")
+
+
 def matrix_bounds(layers: Layers) -> DataFrame:
     """Colour scale of the matrix: its smallest positive and its largest cell."""
     cells = stored(layers, "casos_provincia_mes").dropna(subset=["mes", "provincia_nombre"])

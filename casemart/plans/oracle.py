@@ -414,18 +414,21 @@ LINEITEM_VALUES = """l_partkey l_suppkey l_quantity l_extendedprice l_discount l
     l_linestatus l_shipdate""".split()
 
 
-def _matrix() -> str:
-    """DuckDB finds the months by itself."""
+def _matrix_cells() -> str:
+    """Every province with every month that occurs."""
     mart = CONFIRMED["casos_provincia_mes"]
-    cells = f"""(select provincia_nombre, total_casos, strftime(mes, '%Y-%m') as ym from ({mart})
-        where mes is not null and provincia_nombre is not null)"""
+    cells = f"""(select provincia_nombre, strftime(mes, '%Y-%m') as mes, total_casos as casos
+        from ({mart}) where mes is not null and provincia_nombre is not null)"""
     return _with(
         "fact_c",
-        f"""select provincia_nombre, t.total_casos,
-          cast(coalesce(columns(p.* exclude (provincia_nombre)), 0) as bigint)
-        from (pivot {cells} on ym using sum(total_casos) group by provincia_nombre) p
-        join (select provincia_nombre, cast(sum(total_casos) as bigint) as total_casos
-              from {cells} group by provincia_nombre) t using (provincia_nombre)""",
+        f"""select t.provincia_nombre, m.mes, cast(coalesce(c.casos, 0) as bigint) as casos,
+          t.total_casos, t.orden
+        from (select provincia_nombre, cast(sum(casos) as bigint) as total_casos,
+                cast(row_number() over (order by sum(casos) desc, provincia_nombre) as integer)
+                  as orden
+              from {cells} group by provincia_nombre) t
+        cross join (select distinct mes from {cells}) m
+        left join {cells} c on c.provincia_nombre = t.provincia_nombre and c.mes = m.mes""",
     )
 
 
@@ -487,6 +490,12 @@ def all_oracles() -> dict[str, str]:
         "dim_provincia_view": _with("fact_a", "select * from dim_prov_a"),
         "raw_table": _with("raw", "select * from raw"),
         "read_raw_csv": _with("raw", "select * from raw"),
+        "read_raw_records": _with(
+            "raw",
+            f"""select * from raw union all
+            select 'x' || o_orderkey, 'a' || chr(10) || 'b'{", null" * (len(RAW_COLUMNS) - 2)}
+            from orders where o_orderkey % 1009 = 19""",
+        ),
         "rejected_raw_lines": """
             select 'x' || o_orderkey || ',"a' as line from orders where o_orderkey % 1009 = 19
             union all
@@ -598,7 +607,7 @@ def all_oracles() -> dict[str, str]:
         "feed_monthly_rate": _mart_c(
             "letalidad_mensual", "select mes, tasa_mortalidad_pct from {m} where mes is not null"
         ),
-        "feed_province_month_matrix": _matrix(),
+        "feed_province_month_matrix": _matrix_cells(),
         "feed_matrix_bounds": _mart_c(
             "casos_provincia_mes",
             """select min(total_casos) as minimo, max(total_casos) as maximo from {m}

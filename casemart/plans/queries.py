@@ -30,6 +30,7 @@ from casemart.sources import (
     export_mart,
     file_version,
     read_raw_lines,
+    read_raw_records,
     save_mart,
     shared_dir,
 )
@@ -134,6 +135,14 @@ def raw_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_raw_lines(spark, folder)
 
 
+def raw_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same delivery read as records: a line break inside quotes belongs to its case."""
+    folder = f"{workspace_root(spark)}/csv-{uuid.uuid4().hex}"
+    for frame in (torn_cases(spark, sf_dir), raw_cases(spark, sf_dir)):
+        frame.write.mode("append").option("header", True).csv(folder)
+    return read_raw_records(spark, folder)
+
+
 def raw_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw table, created twice and filled once."""
     name = f"raw_{uuid.uuid4().hex}"
@@ -187,6 +196,7 @@ def all_queries() -> dict[str, Query]:
         "dim_provincia_view": dim_provincia_view,
         "raw_table": raw_table,
         "read_raw_csv": lambda spark, sf_dir: fitting(raw_csv(spark, sf_dir)),
+        "read_raw_records": lambda spark, sf_dir: fitting(raw_records(spark, sf_dir)),
         "rejected_raw_lines": lambda spark, sf_dir: rejected(raw_csv(spark, sf_dir)),
         "refreshed_mart": on_layers(refreshed_mart, c),
         "exported_mart": on_layers(exported_mart, c),
@@ -230,7 +240,7 @@ def all_queries() -> dict[str, Query]:
         "feed_died_survived": on_layers(feeds.died_survived, c),
         "feed_deaths_sex": on_layers(feeds.deaths_sex, c),
         "feed_monthly_rate": on_layers(feeds.monthly_rate, c),
-        "feed_province_month_matrix": on_layers(feeds.province_month_matrix, c),
+        "feed_province_month_matrix": on_layers(feeds.province_month_cells, c),
         "feed_matrix_bounds": on_layers(feeds.matrix_bounds, c),
         "feed_pyramid": on_layers(feeds.pyramid, c),
         "feed_delay_vs_rate": on_layers(feeds.delay_vs_rate, c),

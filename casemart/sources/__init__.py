@@ -6,6 +6,7 @@ from casemart.sources.raw import (
     read_raw_csv,
     read_raw_lines,
 )
+from casemart.sources.records import read_raw_records
 from casemart.sources.tables import (
     delete_folder,
     export_mart,
@@ -24,6 +25,7 @@ __all__ = [
     "file_version",
     "read_raw_csv",
     "read_raw_lines",
+    "read_raw_records",
     "replace_table",
     "save_mart",
     "shared_dir",
