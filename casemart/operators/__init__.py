@@ -13,6 +13,7 @@ from casemart.operators.metrics import (
     summarise_by_dimension,
     with_share,
 )
+from casemart.operators.partials import changed, fold
 from casemart.operators.profile import null_audit, profile, value_counts
 from casemart.operators.quality import (
     Check,
@@ -33,6 +34,7 @@ __all__ = [
     "Check",
     "Summary",
     "any_value_per_group",
+    "changed",
     "check_not_null",
     "check_unique",
     "code_collisions",
@@ -41,6 +43,7 @@ __all__ = [
     "distinct_rows",
     "duplicate_audit",
     "flag_counts",
+    "fold",
     "group_counts",
     "long_form",
     "matrix",

@@ -51,6 +51,10 @@ class Summary:
             names += [f"_sum_{name}", f"_n_{name}"]
         return [F.sum(n).alias(n) for n in names]
 
+    def over(self, df: DataFrame) -> list[Column]:
+        """The aggregates for rows, or for partials of this summary (they have a `_total`)."""
+        return self.merged() if "_total" in df.columns else self.partials()
+
     def finish(self, df: DataFrame, keys: Sequence[str]) -> DataFrame:
         made: dict[str, Column] = {}
         if self.total:
@@ -65,7 +69,8 @@ class Summary:
 
 
 def summarise(df: DataFrame, keys: Sequence[str], summary: Summary) -> DataFrame:
-    return summary.finish(df.groupBy(*keys).agg(*summary.partials()), keys)
+    """Of rows, or of partials that were folded by finer keys before."""
+    return summary.finish(df.groupBy(*keys).agg(*summary.over(df)), keys)
 
 
 def summarise_by_dimension(
@@ -83,7 +88,7 @@ def summarise_by_dimension(
     dimension repeats a key or a label. Rows are folded per key first, so the join and its
     shuffle see one row per key instead of one per case.
     """
-    folded = df.groupBy(key, *extra_keys).agg(*summary.partials())
+    folded = df.groupBy(key, *extra_keys).agg(*summary.over(df))
     named = folded.join(dim.select(key, label), key, how)
     merged = named.groupBy(label, *extra_keys).agg(*summary.merged())
     return summary.finish(merged, [label, *extra_keys])

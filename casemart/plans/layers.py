@@ -44,9 +44,13 @@ def keep_under(root: str) -> Store:
 class Layers:
     """raw -> silver -> dimensions -> fact. A layer is built when first asked for.
 
+    Marts on these layers read the fact, as there are no folded `cells`.
+
     `reports` gives the one raw report per case; both flavours of a run may share its result.
     """
 
+    cells = None
+
     def __init__(
         self,
         raw: DataFrame,

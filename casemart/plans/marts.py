@@ -1,6 +1,7 @@
 """Summary marts M1-M15, for one or both flavours, and the registry that builds them.
 
-Each mart is one narrow scan of the fact table followed by sums and counts per group.
+Each mart is one narrow scan of the fact table followed by sums and counts per group, or the same
+sums over the cells that one scan of the fact has folded for all marts (`cube`).
 """
 
 from __future__ import annotations
@@ -26,6 +27,7 @@ from casemart.operators import (
     summarise_by_dimension,
     with_share,
 )
+from casemart.plans import cube
 from casemart.plans.layers import Layers, keep_as_table, keep_as_view
 from casemart.plans.star import ONSET, province_label
 from casemart.schema import CONFIRMED, DISCARDED, NO_DATA, Flavour
@@ -49,8 +51,10 @@ def _confirmed(layers: Layers) -> bool:
     return layers.flavour == Flavour.CONFIRMED
 
 
-def cases_in_scope(layers: Layers) -> DataFrame:
-    """The cases a mart counts: confirmed ones, or all notifications."""
+def cases_in_scope(layers: Layers, by: str = "sexo") -> DataFrame:
+    """The cases a mart counts: confirmed ones, or all notifications; or their cells `by` a key."""
+    if layers.cells:
+        return layers.cells(by).filter(F.col("_total") > 0)
     fact = layers.fact
     return fact.filter(F.col("clasificacion") == CONFIRMED) if _confirmed(layers) else fact
 
@@ -63,8 +67,21 @@ def _summary(layers: Layers, flags: Sequence[str], **options) -> Summary:
     return Summary(flags=picked, null_as_zero=not _confirmed(layers), **options)
 
 
-def _deaths(cases: DataFrame) -> DataFrame:
-    return cases.filter(F.col("fallecido"))
+def _all_cases(layers: Layers, by: str) -> DataFrame:
+    """All notifications, whatever the flavour counts otherwise."""
+    if not layers.cells:
+        return layers.fact
+    return layers.cells(by).withColumns(
+        {"_total": F.col("_rows"), "total_fallecidos": F.col("_deaths")}
+    )
+
+
+def _death_counts(cases: DataFrame, key: str) -> DataFrame:
+    name = "total_fallecidos"
+    if "_total" in cases.columns:
+        folded = cases.groupBy(key).agg(F.sum(name).alias(name))
+        return folded.filter(F.col(name) > 0)
+    return group_counts(cases.filter(F.col("fallecido")), [key], name)
 
 
 def mortalidad_por_sexo(layers: Layers) -> DataFrame:
@@ -86,34 +103,30 @@ def mortalidad_por_sexo(layers: Layers) -> DataFrame:
             "tasa_arm",
         ]
     summary = _summary(layers, flags, rates=dict(zip(names, counted)), columns=columns)
-    return summarise(cases_in_scope(layers), ["sexo"], summary)
+    return summarise(cases_in_scope(layers, "sexo"), ["sexo"], summary)
 
 
 def casos_por_pais(layers: Layers) -> DataFrame:
     """All notifications in both flavours; only the allcases flavour labels a missing country."""
     if not _confirmed(layers):
         # The label is put on after grouping: NULL and a literal label stay two rows.
-        counts = group_counts(layers.fact, ["pais"], "total_casos")
+        counts = summarise(_all_cases(layers, "pais"), ["pais"], Summary())
         labelled = counts.withColumn("pais", label_null("pais", NO_DATA))
         return labelled.orderBy(F.desc("total_casos"), "pais")
-    counts = summarise(layers.fact, ["pais"], _summary(layers, ["total_fallecidos"], rates={}))
+    deaths = _summary(layers, ["total_fallecidos"], rates={})
+    counts = summarise(_all_cases(layers, "pais"), ["pais"], deaths)
     return with_share(counts, "total_casos", "pct_del_total", 4)
 
 
-def kpis_generales(layers: Layers) -> DataFrame:
-    """One row, one pass; the reports' scattered counts become conditional aggregates."""
-    if not _confirmed(layers):
-        counted = layers.fact.agg(
-            F.count(F.lit(1)).alias("total_casos"),
-            *(F.count_if(flag).alias(name) for name, flag in FLAGS.items()),
-            F.count_distinct("provincia_id").alias("provincias_afectadas"),
-        )
-        rate = percent("total_fallecidos", "total_casos").alias("tasa_letalidad")
-        return counted.select(
-            "total_casos", "total_fallecidos", rate, "total_uti", "total_arm",
-            "provincias_afectadas",
-        )
-
+def _kpi_counts(layers: Layers, *delays: str) -> DataFrame:
+    """The counts and sums under the confirmed flavour's indicators."""
+    if layers.cells:
+        sums = [f"{part}_{delay}" for delay in delays for part in ("_sum", "_n")]
+        names = {"_rows": "total_casos_notificados", "_total": "total_confirmados",
+                 "_discarded": "total_descartados", "total_arm": "total_requirio_arm",
+                 "total_uti": "total_requirio_uti"}
+        totals = layers.totals(*names, "total_fallecidos", *sums)
+        return totals.withColumnsRenamed(names)
     confirmed = F.col("clasificacion") == CONFIRMED
 
     def count(condition: Column, name: str) -> Column:
@@ -123,17 +136,36 @@ def kpis_generales(layers: Layers) -> DataFrame:
         value = F.when(confirmed, F.col(column))
         return [F.sum(value).alias(f"_sum_{column}"), F.count(value).alias(f"_n_{column}")]
 
-    to_diagnosis, to_death = "dias_a_diagnostico", "dias_a_fallecimiento"
-    counted = layers.fact.agg(
+    return layers.fact.agg(
         F.count(F.lit(1)).alias("total_casos_notificados"),
         count(confirmed, "total_confirmados"),
         count(F.col("clasificacion") == DISCARDED, "total_descartados"),
         count(confirmed & F.col("fallecido"), "total_fallecidos"),
         count(confirmed & F.col("requirio_arm"), "total_requirio_arm"),
         count(confirmed & F.col("requirio_uti"), "total_requirio_uti"),
-        *sum_and_n(to_diagnosis),
-        *sum_and_n(to_death),
+        *(c for delay in delays for c in sum_and_n(delay)),
     )
+
+
+def kpis_generales(layers: Layers) -> DataFrame:
+    """One row, one pass; the reports' scattered counts become conditional aggregates."""
+    if not _confirmed(layers):
+        if layers.cells:
+            counted = layers.totals("_rows", *FLAGS).withColumnRenamed("_rows", "total_casos")
+        else:
+            counted = layers.fact.agg(
+                F.count(F.lit(1)).alias("total_casos"),
+                *(F.count_if(flag).alias(name) for name, flag in FLAGS.items()),
+                F.count_distinct("provincia_id").alias("provincias_afectadas"),
+            )
+        rate = percent("total_fallecidos", "total_casos").alias("tasa_letalidad")
+        return counted.select(
+            "total_casos", "total_fallecidos", rate, "total_uti", "total_arm",
+            "provincias_afectadas",
+        )
+
+    to_diagnosis, to_death = "dias_a_diagnostico", "dias_a_fallecimiento"
+    counted = _kpi_counts(layers, to_diagnosis, to_death)
     rate = percent("total_fallecidos", "total_confirmados", digits=None)
     return counted.select(
         mean_of(f"_sum_{to_diagnosis}", f"_n_{to_diagnosis}").alias("promedio_dias_a_diagnostico"),
@@ -150,7 +182,7 @@ def kpis_generales(layers: Layers) -> DataFrame:
 
 def casos_por_dia(layers: Layers) -> DataFrame:
     """Days without a case have no row; cases without an onset date are left out."""
-    dated = cases_in_scope(layers).filter(F.col(ONSET).isNotNull())
+    dated = cases_in_scope(layers, "dia").filter(F.col(ONSET).isNotNull())
     if _confirmed(layers):
         summary = _summary(layers, ["total_fallecidos", "total_uti"], rates={})
         return summarise(dated, [ONSET], summary).orderBy(ONSET)
@@ -165,7 +197,7 @@ def casos_por_dia(layers: Layers) -> DataFrame:
 def _by_province(layers: Layers, summary: Summary) -> DataFrame:
     """Cases without a province: a NULL group (confirmed) or left out (allcases)."""
     return summarise_by_dimension(
-        cases_in_scope(layers),
+        cases_in_scope(layers, "provincia"),
         "provincia_id",
         layers.dim_provincia,
         province_label(layers.flavour),
@@ -187,7 +219,7 @@ def resumen_provincia(layers: Layers) -> DataFrame:
 
 def mortalidad_por_edad(layers: Layers) -> DataFrame:
     """Nine bands without unknown ages, or open decades with a label for them."""
-    cases, flags = cases_in_scope(layers), ["total_fallecidos", "total_uti"]
+    cases, flags = cases_in_scope(layers, "edad"), ["total_fallecidos", "total_uti"]
     if _confirmed(layers):
         band = "franja_etaria"
         cases = cases.filter(F.col("edad_anios").isNotNull())
@@ -211,7 +243,7 @@ def demoras_sistema_salud(layers: Layers) -> DataFrame:
 
 def publico_vs_privado(layers: Layers) -> DataFrame:
     funding, flags = "origen_financiamiento", ["total_fallecidos", "total_uti"]
-    cases = cases_in_scope(layers)
+    cases = cases_in_scope(layers, "financiamiento")
     if _confirmed(layers):
         known = cases.filter(F.col(funding).isNotNull())
         return summarise(known, [funding], _summary(layers, flags))
@@ -222,7 +254,7 @@ def publico_vs_privado(layers: Layers) -> DataFrame:
 
 
 def _by_care(layers: Layers, flag: str) -> DataFrame:
-    cases = cases_in_scope(layers)
+    cases = cases_in_scope(layers, flag.removeprefix("requirio_"))
     if not _confirmed(layers):
         cases = cases.filter(F.col(flag).isNotNull())
     return summarise(cases, [flag], _summary(layers, ["total_fallecidos"]))
@@ -237,27 +269,27 @@ def efectividad_arm(layers: Layers) -> DataFrame:
 
 
 def composicion_fallecidos_sexo(layers: Layers) -> DataFrame:
-    deaths = _deaths(cases_in_scope(layers))
-    groups = group_counts(deaths, ["sexo"], "total_fallecidos")
+    groups = _death_counts(cases_in_scope(layers, "sexo"), "sexo")
     if not _confirmed(layers):
         return groups
     return with_share(groups, "total_fallecidos", "pct_del_total", 1)
 
 
 def edad_fallecidos(layers: Layers) -> DataFrame:
-    deaths = _deaths(cases_in_scope(layers)).filter(F.col("edad_anios").isNotNull())
-    return group_counts(deaths, ["edad_anios"], "total_fallecidos").orderBy("edad_anios")
+    known = cases_in_scope(layers, "edad").filter(F.col("edad_anios").isNotNull())
+    return _death_counts(known, "edad_anios").orderBy("edad_anios")
 
 
 def letalidad_mensual(layers: Layers) -> DataFrame:
     """By month of onset; cases without a date form the NULL month."""
-    cases = cases_in_scope(layers).withColumn("mes", month_of(ONSET))
+    cases = cases_in_scope(layers, "dia").withColumn("mes", month_of(ONSET))
     return summarise(cases, ["mes"], _summary(layers, ["total_fallecidos"])).orderBy("mes")
 
 
 def casos_provincia_mes(layers: Layers) -> DataFrame:
+    cases = cases_in_scope(layers, "provincia")
     return summarise_by_dimension(
-        cases_in_scope(layers).withColumn("mes", month_of(ONSET)),
+        cases if layers.cells else cases.withColumn("mes", month_of(ONSET)),
         "provincia_id",
         layers.dim_provincia,
         province_label(layers.flavour),
@@ -268,7 +300,7 @@ def casos_provincia_mes(layers: Layers) -> DataFrame:
 
 def piramide_edad(layers: Layers) -> DataFrame:
     """Share of cases and share of deaths per decade; a decade without deaths counts 0."""
-    known = cases_in_scope(layers).filter(F.col("edad_anios").isNotNull())
+    known = cases_in_scope(layers, "edad").filter(F.col("edad_anios").isNotNull())
     bands = summarise(
         known.withColumn("franja_etaria", decade_band("edad_anios")),
         ["franja_etaria"],
@@ -322,8 +354,8 @@ def build(
 ) -> dict[str, DataFrame]:
     """Build the marts `names` (default: all of the flavour) and the layers under them.
 
-    As tables, each layer is written once and the marts read the written fact; as views
-    nothing runs now and every query goes back to `raw`.
+    As tables, each layer is written once, and one scan of the fact folds the cells that all marts
+    are made of; as views nothing runs now and every query goes back to `raw`.
     """
     stores = {"table": keep_as_table(database), "view": keep_as_view}
     if materialize not in stores:
@@ -334,5 +366,11 @@ def build(
             raise ValueError(f"mart {name} does not exist in the {flavour.value} flavour")
     layers = Layers(raw, flavour, stores[materialize])
     built = layers.tables()
-    built.update({f"gold_{name}": stored(layers, name) for name in names})
+    source = cube.from_cells(layers) if materialize == "table" else layers
+    built.update(
+        {
+            f"gold_{name}": layers.keep(f"gold_{name}", lambda: MARTS[name].build(source))
+            for name in names
+        }
+    )
     return built

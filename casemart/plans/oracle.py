@@ -512,6 +512,12 @@ def all_oracles() -> dict[str, str]:
     }
     out |= {f"{name}_c": _with("fact_c", sql) for name, sql in CONFIRMED.items()}
     out |= {f"{name}_a": _with("fact_a", sql) for name, sql in ALLCASES.items()}
+    # The same marts from the cells of one scan, and kept over deliveries.
+    out |= {f"cube_{name}_c": out[f"{name}_c"] for name in CONFIRMED}
+    out |= {f"cube_{name}_a": out[f"{name}_a"] for name in ALLCASES}
+    kept = ["casos_por_dia", "resumen_provincia", "letalidad_mensual", "casos_provincia_mes"]
+    out |= {f"delta_{name}_c": out[f"{name}_c"] for name in kept}
+    out["delta_silver_confirmed"] = out["silver_confirmed"]
     funding = " union all ".join(
         f"""select origen_financiamiento, '{m}' as metrica, cast({m} as double) as valor
         from {{m}}"""

@@ -20,7 +20,8 @@ from casemart.operators import (
     top_n,
     value_counts,
 )
-from casemart.plans import checks, clean, feeds, marts, native
+from casemart.plans import checks, clean, cube, feeds, marts, native
+from casemart.plans.deliveries import Deliveries
 from casemart.plans.fixture import RAW_INPUTS, raw_cases, table, torn_cases
 from casemart.plans.layers import Layers, keep_as_view, keep_under
 from casemart.schema import CATEGORY_COLUMNS, Flavour
@@ -39,6 +40,8 @@ from casemart.streaming import ingest_new_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# The marts kept by signed changes that are also registered over deliveries.
+DELTA_MARTS = ["casos_por_dia", "resumen_provincia", "letalidad_mensual", "casos_provincia_mes"]
 
 
 class Workspace:
@@ -69,6 +72,17 @@ class Workspace:
             f: Layers(raw, f, keep_under(f"{self.root}/{f.value}"), survivors_of) for f in Flavour
         }
         self.raw = raw
+        self._deliveries: Deliveries | None = None
+
+    def deliveries(self, sf_dir: str) -> Deliveries:
+        """Three deliveries in a row: first reports, the second ones, the first ones once more."""
+        with self._lock:
+            if self._deliveries is None:
+                made = Deliveries(self.spark, f"{self.root}/deliveries", buckets=16)
+                for n, reports in enumerate(("first", "second", "first")):
+                    made.load(raw_cases(self.spark, sf_dir, reports), f"d{n}")
+                self._deliveries = made
+            return self._deliveries
 
     @classmethod
     def of(cls, spark: SparkSession, sf_dir: str) -> Workspace:
@@ -100,6 +114,14 @@ def on_layers(plan: Callable[[Layers], DataFrame], flavour: Flavour) -> Query:
     return lambda spark, sf_dir: plan(Workspace.of(spark, sf_dir).layers[flavour])
 
 
+def on_cells(plan: Callable[[cube.CellLayers], DataFrame], flavour: Flavour) -> Query:
+    return on_layers(lambda layers: plan(cube.from_cells(layers)), flavour)
+
+
+def on_deliveries(plan: Callable[[Deliveries], DataFrame]) -> Query:
+    return lambda spark, sf_dir: plan(Workspace.of(spark, sf_dir).deliveries(sf_dir))
+
+
 def on_tables(plan: Callable[..., DataFrame], *names: str) -> Query:
     return lambda spark, sf_dir: plan(*(table(spark, sf_dir, n) for n in names))
 
@@ -208,6 +230,12 @@ def all_queries() -> dict[str, Query]:
     for name, mart in marts.MARTS.items():
         for flavour in mart.flavours:
             out[f"{name}_{flavour.value[0]}"] = on_layers(mart.build, flavour)
+            out[f"cube_{name}_{flavour.value[0]}"] = on_cells(mart.build, flavour)
+    out |= {
+        f"delta_{name}_c": on_deliveries(lambda d, m=marts.MARTS[name]: m.build(d.layers()))
+        for name in DELTA_MARTS
+    }
+    out["delta_silver_confirmed"] = on_deliveries(lambda d: d.silver())
     out |= {
         "preview_provinces": on_layers(
             lambda x: top_n(

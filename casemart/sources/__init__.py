@@ -11,6 +11,7 @@ from casemart.sources.tables import (
     delete_folder,
     export_mart,
     file_version,
+    matching,
     replace_table,
     save_mart,
     shared_dir,
@@ -23,6 +24,7 @@ __all__ = [
     "delete_folder",
     "export_mart",
     "file_version",
+    "matching",
     "read_raw_csv",
     "read_raw_lines",
     "read_raw_records",

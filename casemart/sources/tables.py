@@ -36,6 +36,13 @@ def delete_folder(spark: SparkSession, path: str) -> None:
     folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def matching(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that match a pattern, in order, on whatever file system holds them."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
+    system = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return sorted(s.getPath().toString() for s in system.globStatus(path) or [])
+
+
 def _details(spark: SparkSession, name: str) -> dict[str, str]:
     rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()
     return {r.col_name: r.data_type for r in rows}
