@@ -7,9 +7,11 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 
+from casemart.operators import Check, run_checks
 from casemart.plans import clean, star
 from casemart.schema import Flavour
 from casemart.sources import save_mart, write_and_read
+from casemart.sources.publish import KEEP_SECONDS, publish
 
 Store = Callable[[str, DataFrame, Sequence[str]], DataFrame]
 
@@ -32,6 +34,24 @@ def keep_as_table(database: str) -> Store:
     return store
 
 
+def keep_as_published(
+    database: str, checks: Sequence[Check] = (), keep_seconds: float = KEEP_SECONDS
+) -> Store:
+    """Each table becomes visible only after its checks have passed; replaced versions stay."""
+
+    def store(name: str, df: DataFrame, sort_by: Sequence[str] = ()) -> DataFrame:
+        out = df.sortWithinPartitions(*sort_by) if sort_by else df
+        mine = [c for c in checks if c.table == name]
+        names = {"departamento_nombre": "departamento"}  # as the checks call it
+
+        def audit(staged: DataFrame) -> DataFrame:
+            return run_checks({name: staged.withColumnsRenamed(names)}, mine)
+
+        return publish(out, f"{database}.{name}", audit if mine else None, None, keep_seconds)
+
+    return store
+
+
 def keep_under(root: str) -> Store:
     """Parquet folders below `root`, no catalog needed."""
 

@@ -21,6 +21,7 @@ from casemart.functions import (
     round_half_even,
 )
 from casemart.operators import (
+    Check,
     Summary,
     group_counts,
     summarise,
@@ -28,7 +29,7 @@ from casemart.operators import (
     with_share,
 )
 from casemart.plans import cube
-from casemart.plans.layers import Layers, keep_as_table, keep_as_view
+from casemart.plans.layers import Layers, keep_as_published, keep_as_table, keep_as_view
 from casemart.plans.star import ONSET, province_label
 from casemart.schema import CONFIRMED, DISCARDED, NO_DATA, Flavour
 
@@ -351,13 +352,19 @@ def build(
     names: Iterable[str] | None = None,
     materialize: str = "table",
     database: str = "default",
+    checks: Sequence[Check] = (),
 ) -> dict[str, DataFrame]:
     """Build the marts `names` (default: all of the flavour) and the layers under them.
 
     As tables, each layer is written once, and one scan of the fact folds the cells that all marts
-    are made of; as views nothing runs now and every query goes back to `raw`.
+    are made of; as views nothing runs now and every query goes back to `raw`. `published` is like
+    tables, but each one becomes visible only if its `checks` pass, and replaced versions stay.
     """
-    stores = {"table": keep_as_table(database), "view": keep_as_view}
+    stores = {
+        "table": keep_as_table(database),
+        "published": keep_as_published(database, checks),
+        "view": keep_as_view,
+    }
     if materialize not in stores:
         raise ValueError(f"materialize must be one of {sorted(stores)}")
     names = list(mart_names(flavour) if names is None else names)
@@ -366,7 +373,7 @@ def build(
             raise ValueError(f"mart {name} does not exist in the {flavour.value} flavour")
     layers = Layers(raw, flavour, stores[materialize])
     built = layers.tables()
-    source = cube.from_cells(layers) if materialize == "table" else layers
+    source = layers if materialize == "view" else cube.from_cells(layers)
     built.update(
         {
             f"gold_{name}": layers.keep(f"gold_{name}", lambda: MARTS[name].build(source))

@@ -501,6 +501,8 @@ def all_oracles() -> dict[str, str]:
             union all
             select 'b"' || repeat(',', 23) from orders where o_orderkey % 1009 = 19""",
         "refreshed_mart": _with("fact_c", CONFIRMED["resumen_provincia"]),
+        "published_mart": _with("fact_c", CONFIRMED["mortalidad_por_sexo"]),
+        "ingest_by_content": _with("raw", "select * from raw"),
         "exported_mart": _with("fact_c", CONFIRMED["mortalidad_por_sexo"]),
         "profile_lineitem_approx": f"""
             select "column", n_missing, true as within_bound

@@ -11,11 +11,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from casemart.operators import (
+    Check,
     check_not_null,
     check_unique,
     duplicate_audit,
     null_audit,
     profile,
+    run_checks,
     step_counts,
     top_n,
     value_counts,
@@ -26,17 +28,20 @@ from casemart.plans.fixture import RAW_INPUTS, raw_cases, table, torn_cases
 from casemart.plans.layers import Layers, keep_as_view, keep_under
 from casemart.schema import CATEGORY_COLUMNS, Flavour
 from casemart.sources import (
+    copy_file,
     create_raw_table,
     delete_folder,
     export_mart,
     file_version,
+    matching,
     read_raw_lines,
     read_raw_records,
     save_mart,
     shared_dir,
 )
+from casemart.sources.publish import AuditFailed, publish
 from casemart.sources.raw import fitting, rejected
-from casemart.streaming import ingest_new_files
+from casemart.streaming import ContentTable, ingest_new_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -189,6 +194,49 @@ def refreshed_mart(layers: Layers) -> DataFrame:
     return save_mart(mart, name, folder)
 
 
+def published_mart(layers: Layers) -> DataFrame:
+    """Versions published one after the other; one that fails its checks never shows."""
+    spark = layers.raw.sparkSession
+    name = f"published_{uuid.uuid4().hex}"
+    folder = f"{workspace_root(spark)}/{name}"
+    mart = marts.stored(layers, "mortalidad_por_sexo")
+    checks_of = [Check("unique", name, "sexo"), Check("not_null", name, "total_casos")]
+
+    def audit(staged: DataFrame) -> DataFrame:
+        return run_checks({name: staged}, checks_of)
+
+    publish(mart.select("sexo", "total_casos"), name, audit, folder)
+    publish(mart, name, audit, folder)
+    try:
+        publish(mart.unionByName(mart), name, audit, folder)
+    except AuditFailed:
+        return spark.table(name)
+    raise AssertionError("repeated keys were published")
+
+
+def ingest_by_content(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files delivered again under other names, and one changed in place, load each case once."""
+    run = f"{workspace_root(spark)}/content-{uuid.uuid4().hex}"
+    landing = ContentTable(spark, f"{run}/landing", f"{run}/table")
+
+    def make(cases: DataFrame, name: str) -> list[str]:
+        cases.write.option("header", True).csv(f"{run}/made/{name}")
+        return matching(spark, f"{run}/made/{name}/part-*.csv")
+
+    first = make(raw_cases(spark, sf_dir, "first"), "first")
+    second = make(raw_cases(spark, sf_dir, "second").coalesce(1), "second")  # one file to change
+    torn = make(torn_cases(spark, sf_dir).coalesce(1), "torn")
+    for n, path in enumerate(first):
+        copy_file(spark, path, f"{run}/landing/a{n}.csv")
+    copy_file(spark, torn[0], f"{run}/landing/late.csv")
+    landing.load()
+    for n, path in enumerate(first):
+        copy_file(spark, path, f"{run}/landing/again{n}.csv")
+    copy_file(spark, second[0], f"{run}/landing/late.csv")
+    landing.load()
+    return landing.load()
+
+
 def exported_mart(layers: Layers) -> DataFrame:
     """A mart handed to the client and back."""
     mart = marts.stored(layers, "mortalidad_por_sexo")
@@ -221,6 +269,8 @@ def all_queries() -> dict[str, Query]:
         "read_raw_records": lambda spark, sf_dir: fitting(raw_records(spark, sf_dir)),
         "rejected_raw_lines": lambda spark, sf_dir: rejected(raw_csv(spark, sf_dir)),
         "refreshed_mart": on_layers(refreshed_mart, c),
+        "published_mart": on_layers(published_mart, c),
+        "ingest_by_content": ingest_by_content,
         "exported_mart": on_layers(exported_mart, c),
         "dim_departamento_confirmed": on_layers(lambda x: x.dim_departamento, c),
         "dim_departamento_allcases": on_layers(lambda x: x.dim_departamento, a),

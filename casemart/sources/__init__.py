@@ -7,7 +7,9 @@ from casemart.sources.raw import (
     read_raw_lines,
 )
 from casemart.sources.records import read_raw_records
+from casemart.sources.publish import AuditFailed, publish
 from casemart.sources.tables import (
+    copy_file,
     delete_folder,
     export_mart,
     file_version,
@@ -19,12 +21,15 @@ from casemart.sources.tables import (
 )
 
 __all__ = [
+    "AuditFailed",
+    "copy_file",
     "create_loaded_view",
     "create_raw_table",
     "delete_folder",
     "export_mart",
     "file_version",
     "matching",
+    "publish",
     "read_raw_csv",
     "read_raw_lines",
     "read_raw_records",

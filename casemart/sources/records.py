@@ -131,14 +131,19 @@ def spans(lines: DataFrame) -> DataFrame:
     return inside.drop("open").unionByName(tails)
 
 
-def parsed(records: DataFrame) -> DataFrame:
-    """The column `value` as raw columns and `_rejected`, which holds a record that does not fit."""
+def _parsed(value: str) -> Column:
+    """Raw columns and `_rejected`, which holds a record that does not fit."""
     columns = ", ".join(f"`{f.name}` STRING" for f in LINE_SCHEMA.fields)
-    return records.select(F.from_csv("value", columns, CSV_RECORD).alias("r")).select("r.*")
+    return F.from_csv(value, columns, CSV_RECORD)
 
 
-def read_raw_records(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Every record of CSV files with a header row; `_rejected` holds one that does not fit."""
+def read_raw_records(
+    spark: SparkSession, path: str | list[str], with_file: bool = False
+) -> DataFrame:
+    """Every record of CSV files with a header row; `_rejected` holds one that does not fit.
+
+    `with_file` adds the path of a record's file in the column `file`.
+    """
     lines = numbered_lines(spark, path)
     found = spans(lines)
     size = Window.partitionBy("file", "record")
@@ -163,18 +168,20 @@ def read_raw_records(spark: SparkSession, path: str | list[str]) -> DataFrame:
         ),
     ).otherwise(True)
     marked = marked.filter(body)
-    single = marked.filter("record is null").select("value")
+    single = marked.filter("record is null").select("file", "value")
     joined = (
         marked.filter("record is not null")
         .groupBy("file", "record")
         .agg(F.array_sort(F.collect_list(F.struct("block", "line", "value"))).alias("lines"))
-        .select(F.col("lines.value").alias("lines"))
+        .select("file", F.col("lines.value").alias("lines"))
         .withColumn("value", F.array_join("lines", "\n"))
     )
-    columns = ", ".join(f"`{f.name}` STRING" for f in LINE_SCHEMA.fields)
-    fits = F.from_csv("value", columns, CSV_RECORD)[REJECTED].isNull()
+    fits = _parsed("value")[REJECTED].isNull()
     several = joined.select(
-        F.explode(F.when(fits, F.array("value")).otherwise(F.col("lines"))).alias("value")
+        "file", F.explode(F.when(fits, F.array("value")).otherwise(F.col("lines"))).alias("value")
+    )
+    records = single.unionByName(several).select(
+        "file", F.regexp_replace("value", r"\r\z", "").alias("value")
     )
-    records = single.unionByName(several).select(F.regexp_replace("value", r"\r\z", "").alias("value"))
-    return parsed(records.filter("value <> ''"))
+    rows = records.filter("value <> ''").select("file", _parsed("value").alias("r"))
+    return rows.select("r.*", *(["file"] if with_file else []))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import uuid
 from collections.abc import Callable, Sequence
 
@@ -36,6 +37,16 @@ def delete_folder(spark: SparkSession, path: str) -> None:
     folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def copy_file(spark: SparkSession, source: str, target: str) -> None:
+    """Copy a file byte by byte; an existing target is replaced."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    paths = [jvm.org.apache.hadoop.fs.Path(p) for p in (source, target)]
+    systems = [p.getFileSystem(conf) for p in paths]
+    jvm.org.apache.hadoop.fs.FileUtil.copy(
+        systems[0], paths[0], systems[1], paths[1], False, True, conf
+    )
+
+
 def matching(spark: SparkSession, pattern: str) -> list[str]:
     """Paths that match a pattern, in order, on whatever file system holds them."""
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
@@ -48,6 +59,14 @@ def _details(spark: SparkSession, name: str) -> dict[str, str]:
     return {r.col_name: r.data_type for r in rows}
 
 
+def database_path(spark: SparkSession, name: str) -> str:
+    """Where the database of a table keeps it."""
+    database, _, table = name.rpartition(".")
+    database = database or spark.catalog.currentDatabase()
+    rows = spark.sql(f"DESCRIBE DATABASE {database}").collect()
+    return f"{ {r[0]: r[1] for r in rows}['Location'] }/{table}"
+
+
 def save_mart(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     """Replace table `name`, rows and schema, and return it as a table scan.
 
@@ -57,10 +76,7 @@ def save_mart(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     """
     spark = df.sparkSession
     if path is None:
-        database, _, table = name.rpartition(".")
-        database = database or spark.catalog.currentDatabase()
-        rows = spark.sql(f"DESCRIBE DATABASE {database}").collect()
-        path = f"{ {r[0]: r[1] for r in rows}['Location'] }/{table}_versions"
+        path = f"{database_path(spark, name)}_versions"
     folder = f"{path.rstrip('/')}/{uuid.uuid4().hex}"
     df.write.format("parquet").save(folder)
     old = None
@@ -85,11 +101,29 @@ def replace_table(
     return save_mart(change(spark.table(name)), name)
 
 
+LISTED_BY_DRIVER = 2000  # files; more are listed by a Spark job
+
+
 def file_version(spark: SparkSession, paths: Sequence[str]) -> tuple:
     """Number, size and a hash of names, lengths and times of all files below `paths`.
 
-    Read as Spark lists them, so it holds on every file system and for files in subfolders.
+    Asked of the file system that holds them, also for files in subfolders; a few files cost the
+    driver a few calls and no job, many are listed by Spark.
     """
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    roots = [spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p) for p in paths]
+    systems = [root.getFileSystem(hadoop) for root in roots]
+    if sum(s.getContentSummary(r).getFileCount() for s, r in zip(systems, roots)) <= LISTED_BY_DRIVER:
+        stamps = []
+        for system, root in zip(systems, roots):
+            files = system.listFiles(root, True)
+            while files.hasNext():
+                f = files.next()
+                name = f.getPath().getName()
+                if not name.startswith(("_", ".")):
+                    stamps.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+        digest = hashlib.sha256(repr(sorted(stamps)).encode()).hexdigest()
+        return len(stamps), sum(length for _, length, _ in stamps), digest
     files = (
         spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(list(paths))
     )

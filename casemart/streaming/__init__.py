@@ -1,5 +1,6 @@
-"""Incremental file ingestion."""
+"""Incremental file ingestion, by name and by content."""
 
 from casemart.streaming.ingest import ingest_new_files, rejected_lines
+from casemart.streaming.manifest import ContentTable
 
-__all__ = ["ingest_new_files", "rejected_lines"]
+__all__ = ["ContentTable", "ingest_new_files", "rejected_lines"]
