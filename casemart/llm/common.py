@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -80,6 +82,40 @@ class Bitmap:
         return (byte >> (np.uint8(7) - (slot & np.uint64(7)).astype(np.uint8))) & 1 == 1
 
 
+BATCH_MEMORY = 8 << 20
+
+
+@contextmanager
+def small_batches(spark: SparkSession):
+    """Batches of a few megabytes between Spark and the tasks, for whatever runs inside."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, str(BATCH_MEMORY))
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
+def tidy(run: Callable) -> Callable:
+    """`run` over a task's batches; what the task has freed goes back to the machine at its end.
+
+    Workers live on after a task, and beside the next stage their free memory is still theirs.
+    """
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            try:
+                ctypes.CDLL("libc.so.6").malloc_trim(0)
+            except (OSError, AttributeError):
+                pass  # another C library keeps its own counsel
+
+    return whole
+
+
 def arrow_map(df: DataFrame, function, schema: str, columns: Sequence[str]) -> DataFrame:
     """`function(batch) -> iterable of batches` over the named columns of every Arrow batch."""
 

@@ -10,13 +10,20 @@ from __future__ import annotations
 import numpy as np
 
 BLOCK = 64
+PAIR_CELLS = 1 << 22  # pairs of labels of neighbouring items held at a time
 
 
 def chain_marginals(
-    scores: np.ndarray, first: np.ndarray, moves: np.ndarray, opening: np.ndarray
-) -> tuple[np.ndarray, np.ndarray]:
+    scores: np.ndarray,
+    first: np.ndarray,
+    moves: np.ndarray,
+    opening: np.ndarray,
+    pairs: bool = True,
+) -> tuple[np.ndarray, np.ndarray | None]:
     """Forward-backward: label marginals of every item, and expected moves summed over all items.
 
+    The moves are needed in training only; without `pairs` they are not made.
+
     scores: log scores, items x labels; first: where chains begin; moves, opening: log scores of
     label pairs and of a chain's first label.
     """
@@ -64,11 +71,16 @@ def chain_marginals(
     backward = backward.reshape(-1, k)[:n]
     marginals = forward * backward
     marginals /= marginals.sum(axis=1, keepdims=True)
+    if not pairs:
+        return marginals, None
+    inner = np.flatnonzero(~first[1:])
     after = weight.reshape(-1, k)[1:n] * backward[1:]
-    pairs = forward[:-1, :, None] * step * after[:, None, :]
-    pairs = pairs[~first[1:]]
-    pairs /= np.maximum(pairs.sum(axis=(1, 2), keepdims=True), 1e-300)
-    return marginals, pairs.sum(axis=0)
+    expected = np.zeros((k, k))
+    for at in np.array_split(inner, -(-len(inner) * k * k // PAIR_CELLS) or 1):
+        some = forward[at, :, None] * step * after[at, None, :]
+        some /= np.maximum(some.sum(axis=(1, 2), keepdims=True), 1e-300)
+        expected += some.sum(axis=0)
+    return marginals, expected
 
 
 class Adam:

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from casemart.llm.bytes_kernel import MIX_A, MIX_B, ODD, Shingler, mix, slices, text_batch
-from casemart.llm.common import Bitmap, written
+from casemart.llm.common import Bitmap, small_batches, tidy, written
 from casemart.llm.components import components
 
 SHARE = 1.8  # of the longest prefix: the part of the hash range whose tokens are counted
@@ -57,6 +57,7 @@ def order_of(docs: DataFrame, n: int, num: int, den: int) -> Order:
     share = min(1.0, SHARE * (den - num) / den)
     limit = np.uint64(int(share * (1 << 64)) - 1)
 
+    @tidy
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(n)
         for batch in batches:
@@ -113,8 +114,9 @@ def list_keys(tokens: np.ndarray, size_range) -> np.ndarray:
 
 
 def prefixes(docs: DataFrame, order: Order) -> DataFrame:
-    """(doc_id, n, d1, d2, gid, lists): set size, 128-bit digest, group and lists of every row."""
+    """(doc_id, text_key, n, d1, d2, gid, lists): set size, 128-bit digest, group and lists of every row."""
 
+    @tidy
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(order.n)
         for batch in batches:
@@ -132,15 +134,17 @@ def prefixes(docs: DataFrame, order: Order) -> DataFrame:
                 codes = codes.view(np.int64)
                 yield pa.record_batch(
                     [
-                        batch.column(0).slice(lo, len(sets)), pa.array(sizes),
+                        batch.column(0).slice(lo, len(sets)),
+                        batch.column(2).slice(lo, len(sets)), pa.array(sizes),
                         pa.array(codes[:, 0]), pa.array(codes[:, 1]), pa.array(codes[:, 2]),
                         pa.array(lists, pa.list_(pa.int64())),
                     ],
-                    names=["doc_id", "n", "d1", "d2", "gid", "lists"],
+                    names=["doc_id", "text_key", "n", "d1", "d2", "gid", "lists"],
                 )
 
-    schema = "doc_id long, n long, d1 long, d2 long, gid long, lists array<long>"
-    return docs.select("doc_id", "text").mapInArrow(sketch, schema)
+    schema = "doc_id long, text_key long, n long, d1 long, d2 long, gid long, lists array<long>"
+    rows = docs.select("doc_id", "text", F.xxhash64("text").alias("text_key"))
+    return rows.mapInArrow(sketch, schema)
 
 
 def clusters_of(sets: DataFrame, cluster_rows: int) -> DataFrame:
@@ -156,6 +160,7 @@ def clusters_of(sets: DataFrame, cluster_rows: int) -> DataFrame:
     )
     maybe = Bitmap.of(shared, "token", 24)
 
+    @tidy
     def only_shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield batch.filter(pa.array(maybe.has(batch.column(0).to_numpy())))
@@ -236,13 +241,13 @@ LINKS = "rep long, d1 long, root long, links long"
 def compare(tiles: DataFrame, order: Order) -> DataFrame:
     """Run `compare_tile` over the rows of every tile, which stand together in a partition."""
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, rows = None, []
+        key, rows, sets = None, [], []
 
         def flush():
             if len(rows) < 2:
                 return None
-            sets = [np.frombuffer(r["tokens"], dtype=np.uint64) for r in rows]
             links, root = compare_tile(
                 sets, [r["block"] for r in rows], [r["copies"] for r in rows], rows[0]["token"],
                 order,
@@ -260,13 +265,16 @@ def compare(tiles: DataFrame, order: Order) -> DataFrame:
             )
 
         for batch in batches:
-            for row in batch.to_pylist():
+            # The sets are copied one by one: a tile outlives its batches, a batch holds many tiles.
+            tokens = batch.column("tokens")
+            for i, row in enumerate(batch.drop_columns(["tokens"]).to_pylist()):
                 new = (row["cluster"], row["token"], row["left"], row["right"])
                 if new != key:
                     if (out := flush()) is not None:
                         yield out
-                    key, rows = new, []
+                    key, rows, sets = new, [], []
                 rows.append(row)
+                sets.append(np.frombuffer(tokens[i].as_buffer(), dtype=np.uint64).copy())
         if (out := flush()) is not None:
             yield out
 
@@ -275,13 +283,21 @@ def compare(tiles: DataFrame, order: Order) -> DataFrame:
 
 
 def join(
-    docs: DataFrame, n: int = 4, num: int = 85, den: int = 100, cluster_rows: int = CLUSTER_ROWS
+    docs: DataFrame, n: int = 4, num: int = 85, den: int = 100, cluster_rows: int = CLUSTER_ROWS,
+    with_text_key: bool = False,
 ) -> DataFrame:
     """(doc_id, n_shingles, component_id, n_links) of every row; see the module.
 
     component_id is the smallest doc_id that links reach, the row's own included; n_links counts
-    the rows linked to a row.
+    the rows linked to a row. `with_text_key` adds text_key, xxhash64 of the row's text, which tells
+    rows that share a doc_id apart.
     """
+    with small_batches(docs.sparkSession):
+        out = _join(docs, n, num, den, cluster_rows)
+    return out if with_text_key else out.drop("text_key")
+
+
+def _join(docs: DataFrame, n: int, num: int, den: int, cluster_rows: int) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     order = order_of(docs, n, num, den)
     base = written(prefixes(docs, order), "prefixes")
@@ -299,6 +315,7 @@ def join(
     rep_docs = docs.withColumn("key", F.xxhash64("doc_id"))
     by_id = Bitmap.of(clusters.select(F.xxhash64("rep").alias("key")), "key", 24)
 
+    @tidy
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(n)
         for batch in batches:
@@ -342,9 +359,10 @@ def join(
             (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
         )
     )
-    members = base.select("doc_id", "n", "d1", "d2").join(classed, ["n", "d1", "d2"], "left")
+    members = base.select("doc_id", "text_key", "n", "d1", "d2").join(classed, ["n", "d1", "d2"], "left")
     return members.select(
         "doc_id",
+        "text_key",
         F.col("n").alias("n_shingles"),
         F.coalesce("component_id", "doc_id").alias("component_id"),
         F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"),

@@ -26,8 +26,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from casemart.llm.bytes_kernel import MIX_A, MIX_B, ODD, mix, slices
+from casemart.llm.common import tidy
 from casemart.llm.crf import Adam, chain_marginals, observed_moves
 
 UNKNOWN = "und"
@@ -188,7 +190,9 @@ def label_texts(texts: list[str], model: Model, words: Words):
     sure = np.zeros(len(texts))
     if len(text):
         first = np.append(True, text[1:] != text[:-1])
-        marginals, _ = chain_marginals(model.scores(streams), first, model.moves, model.opening)
+        marginals, _ = chain_marginals(
+            model.scores(streams), first, model.moves, model.opening, pairs=False
+        )
         for label in range(means.shape[1]):
             sums = np.bincount(text, weights=marginals[:, label], minlength=len(texts))
             means[:, label] = sums / np.maximum(counts, 1)
@@ -234,10 +238,15 @@ def predict(docs: DataFrame, model: Model | None, letter_bits: np.ndarray,
             )
 
     rows = docs.select("text", *(F.col(c).alias(f"_{c}") for c in others))
-    kinds = dict(rows.dtypes)
-    schema = "".join(f"`_{c}` {kinds[f'_{c}']}, " for c in others)
-    schema += "lang_pred string, score double, n_words long, certainty double"
-    out = rows.mapInArrow(run, schema + (", `_text` string" if "text" in keep else ""))
+    schema = T.StructType(
+        [
+            *(f for f in rows.schema.fields if f.name != "text"),
+            T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()),
+            T.StructField("n_words", T.LongType()), T.StructField("certainty", T.DoubleType()),
+            *([T.StructField("_text", T.StringType())] if "text" in keep else []),
+        ]
+    )
+    out = rows.mapInArrow(tidy(run), schema)
     return out.select(
         *(F.col(f"_{c}").alias(c) for c in keep), "lang_pred", "score", "n_words", "certainty"
     )

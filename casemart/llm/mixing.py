@@ -25,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from casemart.llm.bytes_kernel import mix as scramble
 from casemart.llm.common import WORD, bucket_of, written
@@ -311,7 +312,9 @@ def mixed_texts(docs: DataFrame, floor: float = 1.0, **options) -> DataFrame:
                 names=["text", *(c for c in columns if c != "text")],
             )
 
-    schema = ", ".join(f"`{c}` {kinds[c]}" for c in ["text", *(c for c in columns if c != "text")])
+    schema = T.StructType(
+        [joined.schema["text"], *(joined.schema[c] for c in columns if c != "text")]
+    )
     out = joined.mapInArrow(cut, schema)
     if "n_chars" in columns:
         out = out.withColumn("n_chars", F.length("text").cast(kinds["n_chars"]))

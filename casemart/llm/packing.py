@@ -40,7 +40,6 @@ CAPACITY = 1024  # ids in a sequence: fixed value
 END_ID = 0  # closes every document: fixed value
 LINEAR, QUADRATIC = 1.0, 1.0 / CAPACITY
 GROUP_CHARS = 1 << 24  # text of about so many characters shares a group
-TRIES = 32  # open sequences looked at, cheapest first, before a rest is cut
 BATCH_BYTES = 1 << 20
 CACHE_WORDS = 2_000_000  # pre-tokens a worker remembers before it starts afresh
 BASE = np.uint64(0xD6E8FEB86659FD93)  # of the pre-tokens' hashes, odd
@@ -226,40 +225,69 @@ class Encoder:
         return out
 
 
+class Rooms:
+    """Open sequences as (cost, number), a heap for each room, under a tree of the least entries."""
+
+    def __init__(self, capacity: int):
+        self.leaves = 1 << (capacity - 1).bit_length()
+        self.heaps = [[] for _ in range(capacity + 1)]
+        self.least = [None] * (2 * self.leaves)
+
+    def add(self, room: int, entry: tuple[float, int]) -> None:
+        heapq.heappush(self.heaps[room], entry)
+        self._renew(room)
+
+    def take(self, room: int) -> None:
+        heapq.heappop(self.heaps[room])
+        self._renew(room)
+
+    def _renew(self, room: int) -> None:
+        at, heap = self.leaves + room - 1, self.heaps[room]
+        least = heap[0] if heap else None
+        while at and self.least[at] != least:
+            self.least[at] = least
+            a, b = least, self.least[at ^ 1]
+            least = b if a is None else a if b is None else min(a, b)
+            at >>= 1
+
+    def cheapest(self, room: int) -> tuple[float, int] | None:
+        """The least (cost, number) among all with at least so much room."""
+        at = self.leaves + room - 1
+        found = self.least[at]
+        while at > 1:
+            if not at & 1 and (other := self.least[at + 1]) is not None:
+                found = other if found is None else min(found, other)
+            at >>= 1
+        return found
+
+
 def pack(lengths: np.ndarray, capacity: int = CAPACITY) -> list[tuple[int, int, int, int, int]]:
     """(item, start in item, length, sequence, offset) of items packed without padding.
 
     Items are shorter than `capacity`. The first sequences are full; the last ones hold powers of
-    two.
+    two. Items go by falling length to the cheapest of all sequences with room for the whole item;
+    only where none has, the item is cut, and its start fills the cheapest one.
     """
     total = int(lengths.sum())
     room = [capacity] * (total // capacity)
     rest = total % capacity
     room += [1 << b for b in range(rest.bit_length() - 1, -1, -1) if rest >> b & 1]
     limit = list(room)
-    heap = [(0.0, s) for s in range(len(room))]
+    open_by_room = Rooms(capacity)
+    for s, free in enumerate(room):
+        open_by_room.add(free, (0.0, s))
     out = []
     for item in np.argsort(-lengths, kind="stable").tolist():
         left, start = int(lengths[item]), 0
         while left:
-            passed, chosen = [], None
-            while heap and len(passed) < TRIES:
-                cost, s = heapq.heappop(heap)
-                if room[s] >= left:
-                    chosen = (cost, s)
-                    break
-                passed.append((cost, s))
-            if chosen is None:
-                # Nothing near the cheapest has room: cut the item, starting with the cheapest.
-                chosen = passed.pop(0)
-            for entry in passed:
-                heapq.heappush(heap, entry)
-            cost, s = chosen
+            cost, s = open_by_room.cheapest(left) or open_by_room.cheapest(1)
+            open_by_room.take(room[s])
             size = min(left, room[s])
             out.append((item, start, size, s, limit[s] - room[s]))
             room[s] -= size
             if room[s]:
-                heapq.heappush(heap, (cost + LINEAR * size + QUADRATIC * size * size, s))
+                dearer = cost + LINEAR * size + QUADRATIC * size * size
+                open_by_room.add(room[s], (dearer, s))
             start, left = start + size, left - size
     return out
 

@@ -157,7 +157,7 @@ class Model:
         odds = features @ self.weights
         scores = np.stack([np.zeros(len(odds)), odds], axis=1)
         first = np.append(True, text[1:] != text[:-1])
-        return chain_marginals(scores, first, self.moves, self.opening)[0][:, 1]
+        return chain_marginals(scores, first, self.moves, self.opening, pairs=False)[0][:, 1]
 
     def score(self, texts: list[str], kinds: np.ndarray) -> np.ndarray:
         raw = self.raw(texts, kinds)

@@ -34,6 +34,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from casemart.llm.bytes_kernel import (
     MIX_A,
@@ -500,9 +501,10 @@ def dedup(
         "doc_id", F.xxhash64("doc").alias("key"), F.xxhash64("text").alias("hash"), "text", "runs",
         *(f"_{c}" for c in keep),
     )
-    kinds = dict(joined.dtypes)
-    schema = "doc_id long, n_bytes long, kept binary, spans array<struct<start:long,length:long>>"
-    schema += "".join(f", `_{c}` {kinds[f'_{c}']}" for c in keep)
+    schema = T._parse_datatype_string(
+        "doc_id long, n_bytes long, kept binary, spans array<struct<start:long,length:long>>"
+    )
+    schema = T.StructType([*schema.fields, *(joined.schema[f"_{c}"] for c in keep)])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -84,3 +84,27 @@ def test_every_id_in_one_piece(messy, texts, tokenizer):
 
 def test_empty(no_docs):
     assert packing.digest(no_docs, tokenizer_path()).count() == 0
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_an_item_is_cut_only_where_none_has_room(seed):
+    """Each whole item goes to the cheapest of all sequences with room, looked up one by one."""
+    rng = np.random.default_rng(seed)
+    lengths = np.clip(rng.lognormal(5, 1.1, 800).astype(int), 1, 1023)
+    placed = packing.pack(lengths)
+    total, size = int(lengths.sum()), packing.CAPACITY
+    room = [size] * (total // size)
+    room += [1 << b for b in range((total % size).bit_length() - 1, -1, -1) if total % size >> b & 1]
+    cost = [0.0] * len(room)
+    whole = 0
+    for item, start, length, s, _ in placed:
+        left = int(lengths[item]) - start
+        able = [t for t in range(len(room)) if room[t] >= left]
+        if able:
+            assert length == left and s == min(able, key=lambda t: (cost[t], t))
+            whole += start == 0
+        else:
+            assert length == room[s] < left
+        room[s] -= length
+        cost[s] += packing.LINEAR * length + packing.QUADRATIC * length * length
+    assert not any(room) and whole > 0.8 * len(lengths)

@@ -1,4 +1,9 @@
+import random
+
+from pyspark.sql import functions as F
+
 import corpus_pipeline as cp
+from tests.llm.conftest import make_words
 from tests.llm.test_jaccard import brute as linked
 from tests.llm.test_suffixes import brute as cut
 
@@ -69,6 +74,32 @@ def test_run_over_the_smallest_tables(spark, sf_dir):
     assert total and all(n <= 1024 and n & (n - 1) == 0 for n in total.values())
 
 
+def test_near_copies_judge_each_text_of_a_shared_id(spark):
+    rng = random.Random(3)
+    words = lambda: " ".join(make_words(rng, 40))
+    first, other, third = words(), words(), words()
+    rows = [(1, first, "a"), (5, first, "b"), (5, other, "c"), (5, other, "d"), (7, third, "e"),
+            (8, third + " more", "f"), (None, first, "g")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    out = cp.keep_one_copy(spark, docs, "").collect()
+    assert sorted((str(r.doc_id), r.text) for r in out) == sorted(
+        [("1", first), ("5", other), ("7", third), ("None", first)]
+    )
+
+
+def test_columns_of_any_name_pass_every_stage(spark, sf_dir):
+    names = ["kept", "spans", "n_bytes", "_size", "_runs", "bad name", "a.b", "_columns", "text_key",
+             "lang_pred", "component_id", "_text", "units", "hash"]
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = docs.select("*", *(F.lit(n).alias(n) for n in names))
+    for name, stage in cp.STAGES[:-1]:
+        out = stage(spark, docs, sf_dir)
+        assert out.columns == docs.columns and out.dtypes == docs.dtypes, name
+        marks = out.select(*(F.col(f"`{n}`") for n in names)).distinct().collect()
+        assert [tuple(r) for r in marks] == [tuple(names)], name
+    assert cp.pack(spark, docs, sf_dir).count() > 0
+
+
 def test_empty_tables_pass_every_stage(spark, no_docs):
     docs = no_docs
     for _, stage in cp.STAGES:
