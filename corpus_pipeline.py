@@ -8,16 +8,17 @@ repeats      bytes of 100-byte strings that occur earlier go; documents left wit
 mixing       sources are drawn towards their weights; every document stays whole at least once
 packing      token sequences without padding: one row per piece, with its ids
 
-Defined cases: a null doc_id is kept and never compared with others by `near_copies`; rows that
-share a doc_id stay or go together, exactly repeated rows once; a null or empty text goes with the
-first stage; other columns pass through; an empty table gives an empty result.
+Defined cases: a null doc_id is kept and never compared with others by `near_copies`; rows equal in
+doc_id and text are one document, of which one row stays; different texts under one doc_id are
+judged each by its own links; a null or empty text goes with the first stage; other columns pass
+through in one struct, whatever their names; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from casemart.llm import jaccard, language, mixing, packing, suffixes
@@ -28,49 +29,63 @@ from casemart.sources import shared_dir, write_and_read
 LEAST_SCORE = 0.5  # mean over the words of the largest marginal that a text needs
 
 
+OTHERS = "_columns"
+
+
+def nested(docs: DataFrame, *names: str) -> DataFrame:
+    """The named columns, and all others in one struct, out of the way of the stages' own names."""
+    others = (F.col(quoted(c)) for c in docs.columns if c not in names)
+    return docs.select(*names, F.struct(*others, F.lit(0).alias("_")).alias(OTHERS))
+
+
+def unnested(rows: DataFrame, docs: DataFrame, *names: str, **changed: Column) -> DataFrame:
+    """The columns of `docs` again: `names` stand beside the struct; `changed` has new values."""
+
+    def column(name: str) -> Column:
+        kept = F.col(name) if name in names else F.col(OTHERS)[name]
+        return changed.get(name, kept).cast(docs.schema[name].dataType).alias(name)
+
+    return rows.select(*(column(c) for c in docs.columns))
+
+
+def quoted(name: str) -> str:
+    return f"`{name.replace('`', '``')}`"
+
+
 def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose words have clear languages, with the label of the largest share."""
-    columns = docs.columns
     learn = ~language.held_out(2, 4) & F.col("doc_id").isNotNull()
     model, letter_bits = language.train(docs, learn)
-    others = F.struct(*(c for c in columns if c != "text"))
-    labelled = language.predict(
-        docs.select("text", others.alias("_columns")), model, letter_bits, ("text", "_columns")
-    )
+    labelled = language.predict(nested(docs, "text"), model, letter_bits, ("text", OTHERS))
     kept = labelled.filter(
         (F.col("lang_pred") != language.UNKNOWN) & (F.col("certainty") >= LEAST_SCORE)
     )
-    return kept.select(
-        *(
-            F.col({"lang": "lang_pred", "text": "text"}.get(c, f"_columns.{c}")).alias(c)
-            for c in columns
-        )
-    )
+    return unnested(kept, docs, "text", lang=F.col("lang_pred"))
 
 
 def keep_one_copy(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies: five-word shingles, similarity 0.8."""
-    found = jaccard.join(docs, n=5, num=80, den=100)
-    copies = found.filter("component_id <> doc_id").select("doc_id").distinct()
-    return docs.join(copies, "doc_id", "left_anti").dropDuplicates(["doc_id", "text"]).select(
-        *docs.columns
+    rows = nested(docs, "doc_id", "text")
+    found = jaccard.join(rows, n=5, num=80, den=100, with_text_key=True)
+    copies = found.filter("component_id <> doc_id").select("doc_id", "text_key").distinct()
+    kept = rows.withColumn("text_key", F.xxhash64("text")).join(
+        copies, ["doc_id", "text_key"], "left_anti"
     )
+    return unnested(kept.dropDuplicates(["doc_id", "text"]).drop("text_key"), docs, "doc_id", "text")
 
 
 def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the bytes that earlier documents have already; never half a character."""
-    others = tuple(c for c in docs.columns if c not in ("doc_id", "text"))
-    left = suffixes.dedup(docs, whole_chars=True, keep=others)
-    text = F.col("kept").cast("string")
-    out = left.withColumn("text", text).filter(F.col("text").rlike(r"[^\x20\x09-\x0D]"))
-    if "n_chars" in others:
-        out = out.withColumn("n_chars", F.length("text").cast(dict(docs.dtypes)["n_chars"]))
-    return out.select(*docs.columns)
+    left = suffixes.dedup(nested(docs, "doc_id", "text"), whole_chars=True, keep=(OTHERS,))
+    rows = left.select("doc_id", F.col("kept").cast("string").alias("text"), OTHERS)
+    rows = rows.filter(F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    return unnested(rows, docs, "doc_id", "text", n_chars=F.length("text"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents of the mix, half as many words again as came in, none taken more than twice."""
-    return mixing.mixed_texts(docs, floor=1.0)
+    mixed = mixing.mixed_texts(nested(docs, "doc_id", "text", "source"), floor=1.0)
+    return unnested(mixed, docs, "doc_id", "text", "source", n_chars=F.length("text"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
