@@ -31,7 +31,9 @@ def dedup_by_priority(
     return df.withColumn("_rank", rank).filter(F.col("_rank") == 1).drop("_rank")
 
 
-def duplicate_audit(df: DataFrame, key: str | Sequence[str]) -> DataFrame:
+def duplicate_audit(
+    df: DataFrame, key: str | Sequence[str], colocated: bool = False
+) -> DataFrame:
     """Keys with more than one row: key columns, n_rows, differing_columns (comma separated).
 
     The repeated keys come from a pass over the key alone; only their rows are compared. A
@@ -42,6 +44,9 @@ def duplicate_audit(df: DataFrame, key: str | Sequence[str]) -> DataFrame:
     The comparison groups by the key as one struct, so Spark does not tie it to the partitioning
     of the join below it. That leaves AQE free to broadcast a short list of keys or to split a
     hot one, and the rows of a hot key are folded to one per task before they meet.
+
+    `colocated` is for tables in buckets of the key: all rows are folded where they lie, from one
+    scan without a shuffle.
     """
     keys = [key] if isinstance(key, str) else list(key)
     others = [c for c in df.columns if c not in keys]
@@ -66,11 +71,14 @@ def duplicate_audit(df: DataFrame, key: str | Sequence[str]) -> DataFrame:
             F.col(f"_some{i}").between(1, F.col("n_rows") - 1)
         )
         marks.append(F.when(differs, F.lit(c)))
+    named = F.concat_ws(",", *marks).alias("differing_columns")
+    if colocated:
+        return df.groupBy(*keys).agg(*folded).filter("n_rows > 1").select(*keys, "n_rows", named)
     return (
         df.join(repeated, reduce(Column.__and__, same_key), "left_semi")
         .groupBy(F.struct(*keys).alias("_key"))
         .agg(*folded)
-        .select("_key.*", "n_rows", F.concat_ws(",", *marks).alias("differing_columns"))
+        .select("_key.*", "n_rows", named)
     )
 
 

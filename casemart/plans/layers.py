@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 import threading
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, functions as F
 
+from casemart.functions import percent
 from casemart.operators import Check, run_checks
 from casemart.plans import clean, star
 from casemart.schema import Flavour
 from casemart.sources import save_mart, write_and_read
+from casemart.sources.layout import cluster_by, save_bucketed
 from casemart.sources.publish import KEEP_SECONDS, publish
 
 Store = Callable[[str, DataFrame, Sequence[str]], DataFrame]
@@ -61,6 +63,63 @@ def keep_under(root: str) -> Store:
     return store
 
 
+def keep_bucketed(store: Store, root: str, database: str, key: str, buckets: int) -> Store:
+    """Layers that have the column `key` as tables in buckets of it; the others as `store` does."""
+
+    def bucketed(name: str, df: DataFrame, sort_by: Sequence[str] = ()) -> DataFrame:
+        if key not in df.columns:
+            return store(name, df, sort_by)
+        return save_bucketed(df, f"{database}.{name}", key, buckets, f"{root}/{name}")
+
+    return bucketed
+
+
+def keep_clustered(store: Store, clusters: Mapping[str, Sequence[str]], files: int) -> Store:
+    """`store`, with the rows of the named layers clustered by these columns."""
+
+    def clustered(name: str, df: DataFrame, sort_by: Sequence[str] = ()) -> DataFrame:
+        if name not in clusters:
+            return store(name, df, sort_by)
+        return store(name, cluster_by(df, clusters[name], files), ())
+
+    return clustered
+
+
+class WrittenCounts:
+    """Rows and NULLs of every layer a store writes, counted by the write itself.
+
+    The counts are taken in the tasks that write the files, where Spark counts each partition once,
+    also if a task is repeated after a lost executor. `store` has to write what it is given.
+    """
+
+    def __init__(self, store: Store):
+        self._store = store
+        self._seen: dict[str, tuple[Observation, list[str], DataFrame]] = {}
+
+    def store(self, name: str, df: DataFrame, sort_by: Sequence[str] = ()) -> DataFrame:
+        seen = Observation()
+        nulls = (F.count_if(F.col(c).isNull()).alias(f"_null{i}") for i, c in enumerate(df.columns))
+        out = self._store(name, df.observe(seen, F.count(F.lit(1)).alias("_rows"), *nulls), sort_by)
+        self._seen[name] = seen, df.columns, out
+        return out
+
+    def rows(self, name: str) -> int:
+        return self._seen[name][0].get["_rows"]
+
+    def null_audit(self, name: str) -> DataFrame:
+        """`operators.null_audit` of a written layer, without reading it."""
+        seen, columns, out = self._seen[name]
+        found = seen.get
+        counts = [
+            F.struct(F.lit(c).alias("column"), F.lit(found[f"_null{i}"]).cast("long").alias("n_null"))
+            for i, c in enumerate(columns)
+        ]
+        listed = out.sparkSession.range(1).select(F.inline(F.array(*counts)))
+        return listed.filter("n_null > 0").select(
+            "column", "n_null", percent("n_null", F.lit(found["_rows"]), 1).alias("pct_null")
+        )
+
+
 class Layers:
     """raw -> silver -> dimensions -> fact. A layer is built when first asked for.
 

@@ -405,6 +405,12 @@ def _quality(f: str) -> str:
     return f"select *, violations = 0 as passed from ({union})"
 
 
+SILVER_COLUMNS = """id_caso pais provincia departamento requirio_uti requirio_arm
+    clasificacion_detalle clasificacion sexo carga_provincia_nombre fecha_inicio_sintomas
+    fecha_apertura sepi_apertura fecha_internacion fecha_cui_intensivo fallecido
+    fecha_fallecimiento carga_provincia_id origen_financiamiento residencia_provincia_id
+    fecha_diagnostico residencia_departamento_id edad_anios"""
+
 FACT_COLUMNS = """id_caso sexo pais provincia_id {dep} edad_anios clasificacion
     origen_financiamiento requirio_uti requirio_arm fallecido fecha_inicio_sintomas fecha_apertura
     fecha_diagnostico fecha_internacion fecha_cui_intensivo fecha_fallecimiento
@@ -634,4 +640,28 @@ def all_oracles() -> dict[str, str]:
         ),
         "ingest_incremental": _with("raw", "select * from raw"),
     }
+    # The same rows from tables laid out by key or by two columns, and counted by their writes.
+    out |= {
+        "bucketed_silver_confirmed": out["silver_confirmed"],
+        "bucketed_duplicate_audit": out["duplicate_audit"],
+        "bucketed_check_unique_silver": out["check_unique_silver"],
+        "bucketed_fact_confirmed": out["fact_confirmed"],
+        "clustered_fact_confirmed": out["fact_confirmed"],
+        "clustered_casos_provincia_mes_c": out["casos_provincia_mes_c"],
+        "written_null_audit_silver_c": _with(
+            "silver_c", _null_audit("silver_c", SILVER_COLUMNS.split())
+        ),
+        "written_null_audit_fact_c": out["null_audit_fact_c"],
+        "written_null_audit_fact_a": out["null_audit_fact_a"],
+        "written_step_counts": _with(
+            "raw",
+            "select count(*) as rows_before, count(distinct id_evento_caso) as rows_after from raw",
+        ),
+        "loads_profile_raw": _with(
+            "raw",
+            f"""select "column", n_missing, pct_missing, true as within_bound
+            from ({_profile("raw", RAW_COLUMNS)})""",
+        ),
+        "loads_value_counts_raw": out["value_counts_raw"],
+    }
     return out | _native()

@@ -25,8 +25,16 @@ from casemart.operators import (
 from casemart.plans import checks, clean, cube, feeds, marts, native
 from casemart.plans.deliveries import Deliveries
 from casemart.plans.fixture import RAW_INPUTS, raw_cases, table, torn_cases
-from casemart.plans.layers import Layers, keep_as_view, keep_under
-from casemart.schema import CATEGORY_COLUMNS, Flavour
+from casemart.plans.layers import (
+    Layers,
+    WrittenCounts,
+    keep_as_view,
+    keep_bucketed,
+    keep_clustered,
+    keep_under,
+)
+from casemart.plans.star import ONSET
+from casemart.schema import CATEGORY_COLUMNS, RAW_COLUMNS, Flavour
 from casemart.sources import (
     copy_file,
     create_raw_table,
@@ -39,8 +47,10 @@ from casemart.sources import (
     save_mart,
     shared_dir,
 )
+from casemart.sources.layout import save_bucketed
 from casemart.sources.publish import AuditFailed, publish
 from casemart.sources.raw import fitting, rejected
+from casemart.sources.sketches import ProfileStore
 from casemart.streaming import ContentTable, ingest_new_files
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -64,20 +74,22 @@ class Workspace:
         digest = hashlib.sha256(repr((sf_dir, version)).encode()).hexdigest()[:16]
         self.spark = spark
         self.root = f"{workspace_root(spark)}/{digest}"
-        raw = keep_under(self.root)("bronze_casos", raw_cases(spark, sf_dir), ())
+        self.counts = WrittenCounts(keep_under(self.root))
+        raw = self.counts.store("bronze_casos", raw_cases(spark, sf_dir))
         survivors = None
 
         def survivors_of(lines: DataFrame) -> DataFrame:
             nonlocal survivors
             if survivors is None:
-                survivors = keep_under(self.root)("reports", clean.best_reports(lines), ())
+                survivors = self.counts.store("reports", clean.best_reports(lines))
             return survivors
 
-        self.layers = {
-            f: Layers(raw, f, keep_under(f"{self.root}/{f.value}"), survivors_of) for f in Flavour
-        }
+        self.layer_counts = {f: WrittenCounts(keep_under(f"{self.root}/{f.value}")) for f in Flavour}
+        self.layers = {f: Layers(raw, f, self.layer_counts[f].store, survivors_of) for f in Flavour}
         self.raw = raw
+        self._survivors_of = survivors_of
         self._deliveries: Deliveries | None = None
+        self._laid_out: dict[str, Layers] = {}
 
     def deliveries(self, sf_dir: str) -> Deliveries:
         """Three deliveries in a row: first reports, the second ones, the first ones once more."""
@@ -89,6 +101,29 @@ class Workspace:
                 self._deliveries = made
             return self._deliveries
 
+    def laid_out(self, layout: str) -> Layers:
+        """The confirmed layers once more, `bucketed` by the case or `clustered` by two columns."""
+        with self._lock:
+            if layout not in self._laid_out:
+                root, files = f"{self.root}/{layout}", partitions(self.spark)
+                store = keep_under(root)
+                if layout == "bucketed":
+                    database = f"bucketed_{uuid.uuid4().hex}"
+                    self.spark.sql(f"CREATE DATABASE {database} LOCATION '{root}/database'")
+                    store = keep_bucketed(store, root, database, "id_caso", files)
+                else:
+                    columns = ("clasificacion", ONSET)
+                    store = keep_clustered(store, {"fact_casos": columns}, files)
+                self._laid_out[layout] = Layers(
+                    self.raw, Flavour.CONFIRMED, store, self._survivors_of
+                )
+            return self._laid_out[layout]
+
+    def bucketed_raw(self) -> DataFrame:
+        name = f"raw_bucketed_{uuid.uuid4().hex}"
+        root = f"{self.root}/{name}"
+        return save_bucketed(self.raw, name, "id_evento_caso", partitions(self.spark), root)
+
     @classmethod
     def of(cls, spark: SparkSession, sf_dir: str) -> Workspace:
         sf_dir = sf_dir.rstrip("/")
@@ -111,6 +146,10 @@ def workspace_root(spark: SparkSession) -> str:
     return f"{shared_dir(spark)}/casemart/{spark.sparkContext.applicationId}"
 
 
+def partitions(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def on_raw(plan: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, sf_dir: plan(Workspace.of(spark, sf_dir).raw)
 
@@ -127,6 +166,53 @@ def on_deliveries(plan: Callable[[Deliveries], DataFrame]) -> Query:
     return lambda spark, sf_dir: plan(Workspace.of(spark, sf_dir).deliveries(sf_dir))
 
 
+def on_layout(plan: Callable[[Layers], DataFrame], layout: str) -> Query:
+    return lambda spark, sf_dir: plan(Workspace.of(spark, sf_dir).laid_out(layout))
+
+
+def on_bucketed_raw(plan: Callable[[DataFrame], DataFrame]) -> Query:
+    return lambda spark, sf_dir: plan(Workspace.of(spark, sf_dir).bucketed_raw())
+
+
+def written_null_audit(layer: str, flavour: Flavour) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        workspace = Workspace.of(spark, sf_dir)
+        workspace.layers[flavour].tables()
+        return workspace.layer_counts[flavour].null_audit(layer)
+
+    return run
+
+
+def written_step_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows before and after the deduplication, as the writes of the two layers counted them."""
+    workspace = Workspace.of(spark, sf_dir)
+    workspace.layers[Flavour.CONFIRMED].tables()
+    before, after = (workspace.counts.rows(name) for name in ("bronze_casos", "reports"))
+    return spark.range(1).select(
+        F.lit(before).cast("long").alias("rows_before"), F.lit(after).cast("long").alias("rows_after")
+    )
+
+
+def sketched_loads(spark: SparkSession, sf_dir: str) -> ProfileStore:
+    """Sketches of two loads, the second one made twice under its name."""
+    path = f"{workspace_root(spark)}/sketches-{uuid.uuid4().hex}"
+    store = ProfileStore(spark, path, RAW_COLUMNS, CATEGORY_COLUMNS)
+    for name in ("first", "second", "second"):
+        store.add(raw_cases(spark, sf_dir, name), name)
+    return store
+
+
+def profile_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The united sketches held against the exact profile: distinct counts within a twentieth."""
+    raw = Workspace.of(spark, sf_dir).raw
+    exact = profile(raw).select("column", F.col("n_distinct").alias("_exact"))
+    near = F.abs(F.col("n_distinct") - F.col("_exact")) <= F.ceil(F.col("_exact") * 0.05)
+    found = sketched_loads(spark, sf_dir).profile()
+    return found.join(exact, "column").select(
+        "column", "n_missing", "pct_missing", near.alias("within_bound")
+    )
+
+
 def on_tables(plan: Callable[..., DataFrame], *names: str) -> Query:
     return lambda spark, sf_dir: plan(*(table(spark, sf_dir, n) for n in names))
 
@@ -286,6 +372,25 @@ def all_queries() -> dict[str, Query]:
         for name in DELTA_MARTS
     }
     out["delta_silver_confirmed"] = on_deliveries(lambda d: d.silver())
+    by_month = marts.MARTS["casos_provincia_mes"].build
+    out |= {
+        "bucketed_silver_confirmed": on_bucketed_raw(lambda raw: clean.silver_cases(raw, c)),
+        "bucketed_duplicate_audit": on_bucketed_raw(
+            lambda raw: duplicate_audit(raw, "id_evento_caso", colocated=True)
+        ),
+        "bucketed_check_unique_silver": on_layout(
+            lambda x: check_unique(x.silver, "id_caso"), "bucketed"
+        ),
+        "bucketed_fact_confirmed": on_layout(lambda x: x.fact, "bucketed"),
+        "clustered_fact_confirmed": on_layout(lambda x: x.fact, "clustered"),
+        "clustered_casos_provincia_mes_c": on_layout(by_month, "clustered"),
+        "written_step_counts": written_step_counts,
+        "written_null_audit_silver_c": written_null_audit("silver_casos", c),
+        "written_null_audit_fact_c": written_null_audit("fact_casos", c),
+        "written_null_audit_fact_a": written_null_audit("fact_casos", a),
+        "loads_profile_raw": profile_loads,
+        "loads_value_counts_raw": lambda spark, sf_dir: sketched_loads(spark, sf_dir).value_counts(),
+    }
     out |= {
         "preview_provinces": on_layers(
             lambda x: top_n(
