@@ -7,12 +7,15 @@
    group. Two sets that reach the threshold share a token of their prefixes, the first
    size - ceil(t * size) + 1 tokens in the order. Tokens of one text only need no list, and lists
    are kept by token and size range (sets link only within a range or with the next one).
-3. Groups that share a list, directly or through others, form a cluster. A cluster of up to
-   `cluster_rows` sets is compared as a whole, so each set travels once; in a larger one, the sets
-   of one list are compared. Either way sets meet in tiles of two blocks of about `BLOCK` sets: no
-   task holds a whole cluster.
-4. A tile expands the groups to their members, counts exact intersections by a matrix product, and
-   gives each set's number of links and a spanning forest of the links, never all pairs.
+3. Two groups of a list are a pair if the tokens from the listed one on could still reach the
+   overlap that their sizes ask for. In the list of their first token in common this holds for all
+   groups with a link, so no pair is lost. Long lists are compared in tiles of two blocks of groups;
+   a tile gives a spanning forest of its pairs. Groups joined by pairs form a cluster.
+4. A cluster's groups are expanded to their sets, which meet in tiles of two blocks of about `BLOCK`
+   sets: no task holds a whole cluster, and a set travels once per tile, not once per list. A tile
+   filters its group pairs again by the exact overlap of their whole prefixes, verifies the members
+   of the remaining pairs by exact intersections, and gives each set's number of links and a
+   spanning forest of the links, never all pairs.
 
 Everything counts: no list, candidate or partner is dropped. Links need
 `den * |intersection| >= num * |union|` on exact sets of 56-bit hashes.
@@ -40,7 +43,8 @@ SHARE = 1.8  # of the longest prefix: the part of the hash range whose tokens ar
 FREQUENT = {2: 25, 16: 22, 256: 22, 4096: 20}  # occurrences that count as a class: bitmap's bits
 BATCH_BYTES = 1 << 19
 BLOCK = 256  # sets of one block of a tile
-CLUSTER_ROWS = 4096
+LIST_BLOCK = 1024  # groups of one block of a long list
+PAIRS_AT_ONCE = 1 << 20
 TOKEN = np.uint64((1 << 56) - 1)
 
 
@@ -95,13 +99,20 @@ class Order:
         kind[:low] = sum(m.has(keys).astype(np.uint64) for m in self.maps)
         return np.sort(kind << np.uint64(56) | hashes & TOKEN)
 
+    def prefix(self, tokens: np.ndarray) -> np.ndarray:
+        return tokens[: len(tokens) - -(-self.num * len(tokens) // self.den) + 1]
+
+    def reach(self, overlap, size, other):
+        """Whether sets of these sizes with this overlap are similar enough."""
+        return (self.num + self.den) * overlap >= self.num * (size + other)
+
     def size_range(self, sizes):
         return np.floor(np.log(sizes) / self.width).astype(np.int64)
 
     def lists(self, tokens: np.ndarray) -> tuple[np.ndarray, int]:
         """The lists that a set stands in, and a hash of its size and prefix."""
         size = len(tokens)
-        prefix = tokens[: size - -(-self.num * size // self.den) + 1]
+        prefix = self.prefix(tokens)
         group = mix(np.uint64(size) + mix(prefix ^ MIX_B)[None].sum(axis=1))[0]
         shared = prefix[prefix >> np.uint64(56) > 0]
         here = int(self.size_range(size))
@@ -147,57 +158,124 @@ def prefixes(docs: DataFrame, order: Order) -> DataFrame:
     return rows.mapInArrow(sketch, schema)
 
 
-def clusters_of(sets: DataFrame, cluster_rows: int) -> DataFrame:
-    """(cluster, token, rep, d1, d2, copies, size) of the sets that may have a link.
+def list_entries(groups: DataFrame, num: int, den: int) -> DataFrame:
+    """(token, gid, n, rest): the groups in each list, with the tokens from the listed one on.
 
-    token is null where a cluster is compared as a whole; else it names the list compared.
+    A group's lists name its listed tokens, the last ones of its prefix in the order, once for each
+    of two size ranges.
     """
-    tokens = sets.select(F.explode("lists").alias("token"), "gid")
+    n, half = F.col("n"), F.expr("size(lists) div 2")
+    length = n - F.ceil(n * num / F.lit(den)).cast("long") + 1
+    entries = groups.select("gid", "n", half.alias("half"), length.alias("length"),
+                            F.posexplode("lists").alias("at", "token"))
+    place = F.col("length") - F.col("half") + F.col("at") % F.col("half")
+    return entries.select("token", "gid", "n", (n - place).alias("rest"))
+
+
+def forest(size: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The smallest node that each of `size` nodes reaches over the edges (a, b)."""
+    root = np.arange(size)
+    while True:
+        least = np.minimum(root[a], root[b])
+        new = root.copy()
+        np.minimum.at(new, a, least)
+        np.minimum.at(new, b, least)
+        new = new[new]
+        if (new == root).all():
+            return root
+        root = new
+
+
+def list_pairs(starts: np.ndarray, n: np.ndarray, rest: np.ndarray, order: Order):
+    """(rows, roots): a spanning forest of the pairs in the lists that begin at `starts`."""
+    ends = np.append(starts[1:], len(n))
+    partners = np.repeat(ends, ends - starts) - np.arange(len(n)) - 1  # later rows of the list
+    done = np.concatenate([[0], np.cumsum(partners)])
+    first = 0
+    while first < len(starts):
+        lo = starts[first]
+        last = int(np.searchsorted(done[ends], done[lo] + PAIRS_AT_ONCE, "right"))
+        last = max(last, first + 1)
+        hi = ends[last - 1]
+        count = partners[lo:hi]
+        a = np.repeat(np.arange(hi - lo), count)
+        b = a + 1 + np.arange(len(a)) - np.repeat(done[lo:hi] - done[lo], count)
+        size, left = n[lo:hi], rest[lo:hi]
+        pair = order.reach(np.minimum(left[a], left[b]), size[a], size[b])
+        root = forest(hi - lo, a[pair], b[pair])
+        rows = np.flatnonzero(root != np.arange(hi - lo))
+        yield rows + lo, root[rows] + lo
+        first = last
+
+
+def group_edges(sets: DataFrame, order: Order) -> DataFrame:
+    """(gid, hub): pairs of groups that may hold a link, as a forest for each tile of a list."""
+    groups = sets.groupBy("gid").agg(F.min("n").alias("n"), F.min("lists").alias("lists"))
+    entries = list_entries(groups, order.num, order.den)
     shared = written(
-        tokens.groupBy("token").agg(F.min("gid").alias("hub"), F.max("gid").alias("last"))
-        .filter("hub < last").select("token", "hub"),
+        entries.groupBy("token").agg(F.count(F.lit(1)).alias("size")).filter("size > 1"),
         "shared-tokens",
     )
     maybe = Bitmap.of(shared, "token", 24)
+    narrow = "token long, gid long, n long, rest long"
 
     @tidy
     def only_shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield batch.filter(pa.array(maybe.has(batch.column(0).to_numpy())))
 
-    few = tokens.mapInArrow(only_shared, "token long, gid long")
-    edges = few.join(shared.select("token", "hub"), "token").filter("gid <> hub")
-    linked = components(edges.select("gid", "hub").distinct(), "gid", "hub")
+    @tidy
+    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def found(rows, starts):
+            for at, root in list_pairs(starts, rows[4], rows[5], order):
+                yield pa.record_batch(
+                    [pa.array(rows[3][at]), pa.array(rows[3][root])], names=["gid", "hub"]
+                )
+
+        rows = None
+        for batch in batches:
+            new = [column.to_numpy() for column in batch.columns]
+            rows = new if rows is None else [np.concatenate(c) for c in zip(rows, new)]
+            if not len(rows[0]):
+                continue
+            differs = np.any([c[1:] != c[:-1] for c in rows[:3]], axis=0)
+            starts = np.append(0, np.flatnonzero(differs) + 1)
+            # The last tile may go on in the next batch.
+            yield from found([c[: starts[-1]] for c in rows], starts[:-1])
+            rows = [c[starts[-1] :].copy() for c in rows]
+        if rows is not None and len(rows[0]):
+            yield from found(rows, np.array([0]))
+
+    blocks = F.ceil(F.col("size") / LIST_BLOCK).cast("int")
+    keys = ["token", "left", "right"]
+    block = F.pmod(F.xxhash64("gid"), blocks).cast("int")
+    tiles = (
+        entries.mapInArrow(only_shared, narrow)
+        .join(shared, "token")
+        .withColumn("block", block)
+        .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+        .select("token", F.least("block", "other").alias("left"),
+                F.greatest("block", "other").alias("right"), "gid", "n", "rest")
+    )
+    tiles = tiles.repartition(*keys).sortWithinPartitions(*keys)
+    return tiles.mapInArrow(pairs, "gid long, hub long").distinct()
+
+
+def clusters_of(sets: DataFrame, order: Order) -> DataFrame:
+    """(cluster, gid, rep, d1, d2, copies, size) of the sets whose group has a pair or more sets."""
+    linked = components(group_edges(sets, order), "gid", "hub")
     placed = (
         sets.join(linked.withColumnRenamed("node", "gid"), "gid", "left")
         .withColumn("cluster", F.coalesce("component", "gid"))
+        .select("cluster", "gid", "rep", "d1", "d2", "copies")
     )
     sizes = placed.groupBy("cluster").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
-    placed = written(
-        placed.join(sizes, "cluster").select(
-            "cluster", "rep", "d1", "d2", "n", "copies", "size",
-            F.when(F.col("size") > cluster_rows, F.col("lists")).alias("lists"),
-        ),
-        "clusters",
-    )
-    columns = ["cluster", "token", "rep", "d1", "d2", "copies", "size"]
-    whole = placed.filter(F.col("size") <= cluster_rows).withColumn(
-        "token", F.lit(None).cast("long")
-    )
-    large = placed.filter(F.col("size") > cluster_rows).drop("size")
-    lists = large.withColumn("token", F.explode("lists"))
-    listed = lists.groupBy("token").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
-    return whole.select(*columns).unionByName(lists.join(listed, "token").select(*columns))
+    return placed.join(sizes, "cluster")
 
 
-def compare_tile(sets, blocks, copies, token, order: Order):
-    """Links of one tile: per set the copies it is linked to, and the root of its links' tree.
-
-    Sets of one block are compared where the tile is that block with itself, else only sets of
-    different blocks. With a list's key, a pair counts only in the list of its first token in
-    common and the larger of its size ranges.
-    """
-    m, num, den = len(sets), order.num, order.den
+def overlaps(sets) -> np.ndarray:
+    """The size of every two sets' intersection."""
+    m = len(sets)
     sizes = np.array([len(s) for s in sets])
     both = np.zeros((m, m), dtype=np.float32)
     tokens, code, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
@@ -213,26 +291,47 @@ def compare_tile(sets, blocks, copies, token, order: Order):
         part = np.zeros((m, min(width, last - start)), dtype=np.float32)
         part[row[lo:hi], code[lo:hi] - start] = 1
         both += part @ part.T  # exact: sums of at most 2**24 ones
-    common = np.rint(both).astype(np.int64)
-    linked = den * common >= num * (sizes[:, None] + sizes - common)
+    return np.rint(both).astype(np.int64)
+
+
+def group_pairs(sets, order: Order) -> np.ndarray:
+    """Which groups, one set of each given, may hold a link: every group with itself, and others
+    whose prefixes share a token and leave enough of both sets behind the shorter prefix' end."""
+    sizes = np.array([len(s) for s in sets])
+    prefixes = [order.prefix(s) for s in sets]
+    ends = np.array([p[-1] for p in prefixes])
+    common = overlaps(prefixes)
+    passed = np.stack([np.searchsorted(p, ends, "right") for p in prefixes], axis=1)
+    left = np.minimum((sizes - np.diagonal(passed))[:, None], sizes - passed)
+    left = np.where(ends[:, None] <= ends, left, left.T)
+    pairs = (common > 0) & order.reach(common + left, sizes[:, None], sizes)
+    np.fill_diagonal(pairs, True)
+    return pairs
+
+
+def compare_tile(sets, groups, blocks, copies, order: Order):
+    """Links of one tile: per set the copies it is linked to, and the root of its links' tree.
+
+    Only members of group pairs are verified. Sets of one block are compared where the tile is that
+    block with itself, else only sets of different blocks.
+    """
+    m = len(sets)
+    _, member, group = np.unique(groups, return_index=True, return_inverse=True)
+    pairs = group_pairs([sets[i] for i in member], order)[group][:, group]
     blocks = np.asarray(blocks)
     if (blocks != blocks[0]).any():
-        linked &= blocks[:, None] != blocks
-    np.fill_diagonal(linked, False)
-    counted = linked
-    if token is not None:
-        counted = linked.copy()
-        for i, j in zip(*np.nonzero(np.triu(linked))):
-            first = np.intersect1d(sets[i], sets[j], assume_unique=True)[:1]
-            own = list_keys(first, order.size_range(max(len(sets[i]), len(sets[j]))))
-            counted[i, j] = counted[j, i] = own.view(np.int64)[0] == token
-    links = counted @ np.asarray(copies, dtype=np.int64)
-    root = np.arange(m)
-    while True:
-        least = np.minimum(root, np.where(linked, root, m).min(axis=1))
-        if (least == root).all():
-            return links, root
-        root = least
+        pairs &= blocks[:, None] != blocks
+    np.fill_diagonal(pairs, False)
+    links, root = np.zeros(m, dtype=np.int64), np.arange(m)
+    at = np.flatnonzero(pairs.any(axis=1))
+    if not len(at):
+        return links, root
+    sizes = np.array([len(sets[i]) for i in at])
+    linked = pairs[np.ix_(at, at)]
+    linked &= order.reach(overlaps([sets[i] for i in at]), sizes[:, None], sizes)
+    links[at] = linked @ np.asarray(copies, dtype=np.int64)[at]
+    root[at] = at[forest(len(at), *np.nonzero(linked))]
+    return links, root
 
 
 LINKS = "rep long, d1 long, root long, links long"
@@ -249,8 +348,8 @@ def compare(tiles: DataFrame, order: Order) -> DataFrame:
             if len(rows) < 2:
                 return None
             links, root = compare_tile(
-                sets, [r["block"] for r in rows], [r["copies"] for r in rows], rows[0]["token"],
-                order,
+                sets, [r["gid"] for r in rows], [r["block"] for r in rows],
+                [r["copies"] for r in rows], order,
             )
             at = np.flatnonzero(links + (root != np.arange(len(rows))))
             at = np.union1d(at, root[at])
@@ -268,7 +367,7 @@ def compare(tiles: DataFrame, order: Order) -> DataFrame:
             # The sets are copied one by one: a tile outlives its batches, a batch holds many tiles.
             tokens = batch.column("tokens")
             for i, row in enumerate(batch.drop_columns(["tokens"]).to_pylist()):
-                new = (row["cluster"], row["token"], row["left"], row["right"])
+                new = (row["cluster"], row["left"], row["right"])
                 if new != key:
                     if (out := flush()) is not None:
                         yield out
@@ -278,13 +377,12 @@ def compare(tiles: DataFrame, order: Order) -> DataFrame:
         if (out := flush()) is not None:
             yield out
 
-    keys = ["cluster", "token", "left", "right"]
+    keys = ["cluster", "left", "right"]
     return tiles.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(run, LINKS)
 
 
 def join(
-    docs: DataFrame, n: int = 4, num: int = 85, den: int = 100, cluster_rows: int = CLUSTER_ROWS,
-    with_text_key: bool = False,
+    docs: DataFrame, n: int = 4, num: int = 85, den: int = 100, with_text_key: bool = False
 ) -> DataFrame:
     """(doc_id, n_shingles, component_id, n_links) of every row; see the module.
 
@@ -293,11 +391,11 @@ def join(
     rows that share a doc_id apart.
     """
     with small_batches(docs.sparkSession):
-        out = _join(docs, n, num, den, cluster_rows)
+        out = _join(docs, n, num, den)
     return out if with_text_key else out.drop("text_key")
 
 
-def _join(docs: DataFrame, n: int, num: int, den: int, cluster_rows: int) -> DataFrame:
+def _join(docs: DataFrame, n: int, num: int, den: int) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     order = order_of(docs, n, num, den)
     base = written(prefixes(docs, order), "prefixes")
@@ -310,7 +408,7 @@ def _join(docs: DataFrame, n: int, num: int, den: int, cluster_rows: int) -> Dat
         "sets",
     )
     known = sets.filter("rep is not null")
-    clusters = written(clusters_of(known, cluster_rows), "candidates")
+    clusters = written(clusters_of(known, order), "candidates")
 
     rep_docs = docs.withColumn("key", F.xxhash64("doc_id"))
     by_id = Bitmap.of(clusters.select(F.xxhash64("rep").alias("key")), "key", 24)
@@ -342,8 +440,9 @@ def _join(docs: DataFrame, n: int, num: int, den: int, cluster_rows: int) -> Dat
         .withColumn("block", block)
         .withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
         .select(
-            "cluster", "token", F.least("block", "other").alias("left"),
-            F.greatest("block", "other").alias("right"), "block", "rep", "d1", "copies", "tokens",
+            "cluster", F.least("block", "other").alias("left"),
+            F.greatest("block", "other").alias("right"), "block", "gid", "rep", "d1", "copies",
+            "tokens",
         )
     )
     links = written(compare(tiles, order), "links")
