@@ -7,8 +7,10 @@ rare event. Forward-backward gives each word's marginals; a text's score for a l
 mean over its words.
 
 Training takes at most `train_docs` labelled texts per language, of at most `train_chars`
-characters each, the ones with the smallest hash of their id: a documented bound. Everything else
-reads all words of all texts.
+characters each, the ones with the smallest hash of their id, and of each language at most
+`TRAIN_CELLS` over the square of their number in characters, so that the sample and what is
+computed from it keep one bound for many languages: documented bounds. Everything else reads all
+words of all texts; texts longer than a batch are read in parts, with the chain's state carried on.
 
 Defined cases: a null text, or one without letters, is `und` with score 0; texts without a label
 are predicted but not learned from; without any labelled row every text is `und`; repeated rows
@@ -30,7 +32,7 @@ from pyspark.sql import types as T
 
 from casemart.llm.bytes_kernel import MIX_A, MIX_B, ODD, mix, slices
 from casemart.llm.common import tidy
-from casemart.llm.crf import Adam, chain_marginals, observed_moves
+from casemart.llm.crf import Adam, chain_marginals, marginals_in_pieces, observed_moves, piece_items
 
 UNKNOWN = "und"
 MAX_LANGUAGES = 200
@@ -38,6 +40,8 @@ HASH_BITS = 16
 TRAIN_DOCS, TRAIN_CHARS = 200, 20_000
 ROUNDS, RATE, RIDGE = 12, 0.1, 1e-3
 BATCH_CHARS = 1 << 18
+SCORE_CELLS = 1 << 22  # characters times languages scored together
+TRAIN_CELLS = 1 << 25  # characters times languages of the whole training sample
 PASSAGE = 40  # mean words of a training passage
 
 
@@ -53,9 +57,9 @@ class Words:
     def __init__(self, letter_bits: np.ndarray):
         self.letter = np.unpackbits(letter_bits).view(bool)
 
-    def features(self, texts: list[str]):
+    def features(self, texts: list[str], lowered: bool = False):
         """(text of each word, [(buckets, first bucket of each word)])."""
-        lowered = [t.lower() for t in texts]
+        lowered = texts if lowered else [t.lower() for t in texts]
         points = np.frombuffer("".join(lowered).encode("utf-32-le"), dtype=np.uint32)
         bounds = np.cumsum([0, *map(len, lowered)])
         inside = self.letter[points]
@@ -113,12 +117,16 @@ class Model:
         return sum(np.add.reduceat(self.weights[b], f, axis=0) for b, f in streams).astype(float)
 
 
-def training_rows(docs: DataFrame, learn: Column, train_docs: int, train_chars: int) -> DataFrame:
+def training_rows(docs: DataFrame, learn: Column, train_docs: int, train_chars: int,
+                  language_chars: int = TRAIN_CELLS) -> DataFrame:
+    """The rows to learn from; of each language one text at least, then `language_chars` in all."""
     rows = docs.filter(learn & F.col("lang").isNotNull() & (F.length("text") <= train_chars))
     by_language = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", "text")
-    return rows.select(
+    first = rows.select(
         "lang", "text", F.row_number().over(by_language).alias("place")
     ).filter(F.col("place") <= train_docs)
+    upto = F.sum(F.length("text")).over(Window.partitionBy("lang").orderBy("place"))
+    return first.withColumn("upto", upto).filter((F.col("upto") <= language_chars) | (F.col("place") == 1))
 
 
 def fit(samples: list[tuple[str, str]], letter_bits: np.ndarray, seed: int = 7) -> Model | None:
@@ -177,28 +185,77 @@ def train(docs: DataFrame, learn: Column, train_docs: int = TRAIN_DOCS,
     languages = docs.filter(learn).select("lang").distinct().limit(MAX_LANGUAGES + 2).count()
     if languages > MAX_LANGUAGES + 1:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
-    rows = training_rows(docs, learn, train_docs, train_chars).select("lang", "text").collect()
+    share = TRAIN_CELLS // max(1, languages) ** 2
+    rows = training_rows(docs, learn, train_docs, train_chars, share).select("lang", "text").collect()
     letter_bits = letters()
     return fit([(r.lang, r.text) for r in rows], letter_bits), letter_bits
 
 
+def batch_chars(languages: int) -> int:
+    """Characters whose words are scored together: fewer for more languages."""
+    return max(1 << 12, min(BATCH_CHARS, SCORE_CELLS // max(1, languages)))
+
+
 def label_texts(texts: list[str], model: Model, words: Words):
     """Of each text over its words: mean marginals (texts x languages), mean largest marginal, count."""
     text, streams = words.features(texts)
+    k = len(model.languages)
     counts = np.bincount(text, minlength=len(texts))
-    means = np.zeros((len(texts), len(model.languages)))
+    means = np.zeros((len(texts), k))
     sure = np.zeros(len(texts))
     if len(text):
         first = np.append(True, text[1:] != text[:-1])
-        marginals, _ = chain_marginals(
-            model.scores(streams), first, model.moves, model.opening, pairs=False
-        )
-        for label in range(means.shape[1]):
-            sums = np.bincount(text, weights=marginals[:, label], minlength=len(texts))
-            means[:, label] = sums / np.maximum(counts, 1)
-        sums = np.bincount(text, weights=marginals.max(axis=1), minlength=len(texts))
-        sure = sums / np.maximum(counts, 1)
-    return means, sure, counts
+        scores = model.scores(streams)
+        size = piece_items(k)
+
+        def piece(i: int):
+            return scores[i * size : (i + 1) * size], first[i * size : (i + 1) * size]
+
+        many = -(-len(text) // size)
+        for i, marginals in marginals_in_pieces(piece, many, model.moves, model.opening):
+            owner = text[i * size : (i + 1) * size]
+            for label in range(k):
+                means[:, label] += np.bincount(
+                    owner, weights=marginals[:, label], minlength=len(texts)
+                )
+            sure += np.bincount(owner, weights=marginals.max(axis=1), minlength=len(texts))
+    several = np.maximum(counts, 1)
+    return means / several[:, None], sure / several, counts
+
+
+def label_long_text(text: str, model: Model, words: Words):
+    """`label_texts` of one text, scored in parts that end between words.
+
+    Each part is scored twice, once for the state that it hands on and once for its marginals, so
+    memory does not grow with the text (a single word is never cut).
+    """
+    lowered = text.lower()
+    size = batch_chars(len(model.languages))
+    cuts = [0]
+    while cuts[-1] < len(lowered):
+        end = min(len(lowered), cuts[-1] + size)
+        while end < len(lowered) and lowered[end - 1].isalpha() and lowered[end].isalpha():
+            end += 1
+        cuts.append(end)
+    k = len(model.languages)
+    begun: list[int] = []  # the first part that has words
+
+    def piece(i: int):
+        owner, streams = words.features([lowered[cuts[i] : cuts[i + 1]]], lowered=True)
+        first = np.zeros(len(owner), dtype=bool)
+        if len(owner):
+            if not begun:
+                begun.append(i)
+            first[0] = begun[0] == i
+        return model.scores(streams) if len(owner) else np.zeros((0, k)), first
+
+    sums, sure, count = np.zeros(k), 0.0, 0
+    for _, marginals in marginals_in_pieces(piece, len(cuts) - 1, model.moves, model.opening):
+        sums += marginals.sum(axis=0)
+        sure += marginals.max(axis=1).sum() if len(marginals) else 0.0
+        count += len(marginals)
+    n = max(count, 1)
+    return sums[None] / n, np.array([sure / n]), np.array([count])
 
 
 def predict(docs: DataFrame, model: Model | None, letter_bits: np.ndarray,
@@ -219,10 +276,13 @@ def predict(docs: DataFrame, model: Model | None, letter_bits: np.ndarray,
             texts = [t or "" for t in batch.column(0).to_pylist()]
             sizes = np.cumsum([0, *map(len, texts)])
             found, score, count, certainty = [], [], [], []
-            for lo, hi in slices(sizes, BATCH_CHARS):
+            size = BATCH_CHARS if model is None else batch_chars(len(model.languages))
+            for lo, hi in slices(sizes, size):
                 if model is None:
                     means, n = np.zeros((hi - lo, 1)), np.zeros(hi - lo, dtype=np.int64)
                     sure = np.zeros(hi - lo)
+                elif sizes[hi] - sizes[lo] > 2 * size:
+                    means, sure, n = label_long_text(texts[lo], model, words)
                 else:
                     means, sure, n = label_texts(texts[lo:hi], model, words)
                 best = means.argmax(axis=1)

@@ -6,8 +6,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from casemart.llm import language, quality
-from casemart.llm.crf import chain_marginals
+from casemart.llm import crf, language, quality
+from casemart.llm.bytes_kernel import MIX_A, MIX_B, ODD
+from casemart.llm.crf import chain_marginals, marginals_in_pieces
 
 
 def test_forward_backward_matches_enumeration():
@@ -56,6 +57,142 @@ def test_long_chains_cross_blocks():
     np.testing.assert_allclose(got, want, rtol=1e-9)
 
 
+@pytest.mark.parametrize("wide", [32, 2])
+def test_pieces_carry_the_state(monkeypatch, wide):
+    rng = np.random.default_rng(3)
+    scores, first = rng.normal(size=(900, 3)), rng.random(900) < 0.01
+    first[0] = True
+    moves, opening = rng.normal(size=(3, 3)), rng.normal(size=3)
+    want, _ = chain_marginals(scores, first, moves, opening)
+    monkeypatch.setattr(crf, "WIDE", wide)  # the same with and without products of matrices
+    np.testing.assert_allclose(chain_marginals(scores, first, moves, opening)[0], want, rtol=1e-9)
+    cuts = [0, 0, 1, 64, 200, 200, 703, 900, 900]  # also empty pieces
+    got = np.zeros_like(want)
+    for i, part in marginals_in_pieces(
+        lambda i: (scores[cuts[i] : cuts[i + 1]], first[cuts[i] : cuts[i + 1]]),
+        len(cuts) - 1, moves, opening,
+    ):
+        got[cuts[i] : cuts[i + 1]] = part
+    np.testing.assert_allclose(got, want, rtol=1e-9)
+
+
+def small_model(k):
+    rng = np.random.default_rng(k)
+    weights = rng.normal(size=(1 << language.HASH_BITS, k)).astype(np.float32) / 4
+    names = tuple(f"l{i:03}" for i in range(k))
+    return language.Model(names, weights, np.eye(k) * 3, rng.normal(size=k))
+
+
+def test_long_text_in_parts_is_the_whole_text(texts):
+    words = language.Words(language.letters())
+    model = small_model(4)
+    text = " ".join(t or "" for _, t in texts) * 8 + " " + "x" * 9000
+    whole = language.label_texts([text], model, words)
+    cells = language.SCORE_CELLS
+    try:
+        language.SCORE_CELLS = 1 << 12
+        parts = language.label_long_text(text, model, words)
+        blank = language.label_long_text(" .\n" * 5000, model, words)
+    finally:
+        language.SCORE_CELLS = cells
+    for a, b in zip(whole, parts):
+        np.testing.assert_allclose(a, b, rtol=1e-6)
+    assert blank[2].tolist() == [0] and blank[0].sum() == 0
+
+
+def limited(function, *args):
+    """Runs in a process of its own; how many bytes it took above what it started with."""
+    import multiprocessing
+    import resource
+
+    def run(pipe):
+        before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+        function(*args)
+        pipe.send((resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) * 1024)
+
+    ours, theirs = multiprocessing.Pipe()
+    process = multiprocessing.get_context("fork").Process(target=run, args=(theirs,))
+    process.start()
+    assert ours.poll(300)
+    process.join()
+    return ours.recv()
+
+
+def test_memory_of_a_very_long_text():
+    words, model = language.Words(language.letters()), small_model(5)
+    text = "some words of a text that goes on " * 600_000  # 20 million characters
+    assert limited(language.label_long_text, text, model, words) < 300 << 20
+
+
+def test_memory_of_two_hundred_languages():
+    words, model = language.Words(language.letters()), small_model(200)
+    text = "some words of a text " * 10_000
+    assert limited(language.label_long_text, text, model, words) < 400 << 20
+    size = language.batch_chars(200)
+    assert limited(language.label_texts, [text[:size]], model, words) < 400 << 20
+
+
+def test_two_hundred_languages_are_told_apart(spark):
+    rng = np.random.default_rng(5)
+    rows = []
+    for lang in range(200):
+        letters = rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 5, replace=False)
+        words = ["".join(rng.choice(letters, 5)) for _ in range(6)]
+        rows += [(lang * 10 + i, " ".join(rng.choice(words, 8)), f"l{lang:03}") for i in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model, bits = language.train(docs, F.col("doc_id") % 10 < 2)
+    assert len(model.languages) == 200
+    out = language.predict(docs, model, bits, ("doc_id", "lang")).filter("doc_id % 10 = 2").collect()
+    assert np.mean([r.lang == r.lang_pred for r in out]) > 0.9
+
+
+def test_training_sample_keeps_its_bound(spark):
+    rows = [(i, "word " * 30, "a" if i < 40 else "b") for i in range(45)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    taken = language.training_rows(docs, F.lit(True), 20, 1000, 1500).groupBy("lang").count()
+    assert {r.lang: r["count"] for r in taken.collect()} == {"a": 10, "b": 5}
+    one = language.training_rows(docs, F.lit(True), 20, 1000, 10).groupBy("lang").count()
+    assert {r.lang: r["count"] for r in one.collect()} == {"a": 1, "b": 1}
+
+
+def plain_buckets(word):
+    """Hash buckets of one word's features, letter by letter."""
+    low = (1 << 64) - 1
+    mix_a, mix_b, odd = int(MIX_A), int(MIX_B), int(ODD)
+    marked = [2, *map(ord, word), 1]
+    out = []
+    for n in (1, 2, 3):
+        for i in range(len(marked) - n + 1):
+            value = 0
+            for p in marked[i : i + n]:
+                value = (value * mix_a + p) & low
+            out.append((value, n))
+    for kind, part in ((4, marked[1:4]), (5, marked[-2:-5:-1])):
+        edge = marked[-1] if kind == 4 else marked[0]
+        value = 0
+        for p in (part + [edge] * 3)[:3]:
+            value = (value * mix_b + p) & low
+        out.append((value, kind))
+    return out
+
+
+def test_word_features_against_a_plain_version():
+    words = language.Words(language.letters())
+    texts = ["Zwei Wörter, don't", "", "a", "naïve 漢字 x9y ÀB"]
+    found = [(0, w) for w in ("zwei", "wörter", "don", "t")] + [(2, "a")]
+    found += [(3, w) for w in ("naïve", "漢字", "x", "y", "àb")]
+    text, streams = words.features(texts)
+    assert text.tolist() == [i for i, _ in found]
+    for at, (_, word) in enumerate(found):
+        want = {}
+        for value, kind in plain_buckets(word):
+            want.setdefault(kind, []).append(
+                int(words.bucket(np.array([value], dtype=np.uint64), kind)[0]))
+        for kind, (buckets, starts) in zip(range(1, 6), streams):
+            ends = np.append(starts, len(buckets))
+            assert buckets[ends[at] : ends[at + 1]].tolist() == want[kind], (word, kind)
+
+
 @pytest.fixture(scope="module")
 def documents(spark):
     return spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
