@@ -28,12 +28,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from casemart.llm.bytes_kernel import mix as scramble
-from casemart.llm.common import WORD, bucket_of, written
+from casemart.llm.common import WORD, bucket_of, partitions, written
 
 MAX_SOURCES = 100_000
 WEIGHTS = (3.0, 1.0, 2.0)  # of the sources in order, repeating: fixed values
 SHARE, CAP = 1.5, 2.0  # the mix's size over the input's; most passes over a source: fixed values
 DOCS_PER_BUCKET = 20_000
+SPAN_SHARDS = 4096  # shards whose draws are summed in one task
 
 
 @dataclass(frozen=True)
@@ -142,10 +143,20 @@ def draw_slots(spark, sources: Sequence[Source], shard_slots: int, seed: int) ->
                 )
 
     drawn = spark.range(shards if total else 0).mapInArrow(draw, schema)
-    by_source = Window.partitionBy("source_index").orderBy("shard")
+    # Prefix sums over a source's shards: inside spans of shards, and over the spans' totals.
+    drawn = drawn.withColumn("span", F.expr(f"shard div {SPAN_SHARDS}"))
+    totals = drawn.groupBy("source_index", "span").agg(F.sum("drawn").alias("all"))
+    by_source = Window.partitionBy("source_index").orderBy("span")
+    before = totals.select(
+        "source_index", "span", (F.sum("all").over(by_source) - F.col("all")).alias("before")
+    )
+    inside = Window.partitionBy("source_index", "span").orderBy("shard")
     limits = F.array(*(F.lit(int(q)) for q in quota)) if total else F.array(F.lit(0))
-    upto = drawn.withColumn("quota", limits[F.col("source_index")].cast("long")).withColumn(
-        "upto", F.sum("drawn").over(by_source)
+    upto = (
+        drawn.withColumn("upto", F.sum("drawn").over(inside))
+        .join(before, ["source_index", "span"])
+        .withColumn("quota", limits[F.col("source_index")].cast("long"))
+        .withColumn("upto", F.col("before") + F.col("upto"))
     )
     # What a source drew beyond its quota is cut; what it drew too little is dealt over the shards.
     kept = upto.select(
@@ -155,20 +166,17 @@ def draw_slots(spark, sources: Sequence[Source], shard_slots: int, seed: int) ->
         F.least("quota", F.col("upto")).alias("last"),
     )
     ends = {
-        row["source_index"]: row["last"]
-        for row in kept.groupBy("source_index").agg(F.max("last").alias("last")).collect()
+        row["source_index"]: min(int(quota[row["source_index"]]), row["all"])
+        for row in drawn.groupBy("source_index").agg(F.sum("drawn").alias("all")).collect()
     }
-    short = [
-        (shard, i, first, last)
-        for i, q in enumerate(quota.tolist())
-        if (missing := q - ends.get(i, 0)) > 0
-        for shard, first, last in _dealt(ends.get(i, 0), missing, shards, i)
-    ]
     runs = kept.filter("last > first")
+    short = [(i, ends.get(i, 0), int(q)) for i, q in enumerate(quota) if q > ends.get(i, 0)]
     if short:
-        runs = runs.unionByName(
-            spark.createDataFrame(short, "shard long, source_index int, first long, last long")
-        )
+        runs = runs.unionByName(dealt(spark, short, shards))
+    # Runs are a few bytes each and thousands of slots when expanded: spread by number, or they
+    # would be merged into few tasks for their size.
+    tasks = max(1, min(shards, partitions(spark)))
+    runs = runs.select("shard", "source_index", "first", "last").repartition(tasks, "shard")
 
     def expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -189,19 +197,30 @@ def draw_slots(spark, sources: Sequence[Source], shard_slots: int, seed: int) ->
                         names=["shard", "source_index", "slot", "pass", "block"],
                     )
 
-    return runs.select("shard", "source_index", "first", "last").mapInArrow(
+    return runs.mapInArrow(
         expand, "shard long, source_index int, slot long, pass int, block long"
     )
 
 
-def _dealt(first: int, missing: int, shards: int, start: int):
-    """The missing slots of a source as at most `shards` runs over neighbouring shards."""
-    each, more = divmod(missing, shards)
-    for j in range(shards):
-        n = each + (j < more)
-        if n:
-            yield (start + j) % shards, first, first + n
-            first += n
+def dealt(spark, short: Sequence[tuple[int, int, int]], shards: int) -> DataFrame:
+    """The slots (source, first, last) that are missing, as runs over all shards alike."""
+    schema = "shard long, source_index int, first long, last long"
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            shard = batch.column(0).to_numpy()
+            for source, first, last in short:
+                each, more = divmod(last - first, shards)
+                turn = (shard - source) % shards
+                begin = first + turn * each + np.minimum(turn, more)
+                end = begin + each + (turn < more)
+                at = np.flatnonzero(end > begin)
+                yield pa.record_batch(
+                    [shard[at], np.full(len(at), source, dtype=np.int32), begin[at], end[at]],
+                    names=["shard", "source_index", "first", "last"],
+                )
+
+    return spark.range(shards).mapInArrow(deal, schema)
 
 
 def streams(sizes: DataFrame, sources: Sequence[Source]) -> DataFrame:

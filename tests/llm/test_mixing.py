@@ -58,6 +58,16 @@ def test_many_shards_reach_the_same_counts(messy):
         assert got == {s.index: s.slots for s in sources if s.slots}
 
 
+def test_missing_slots_are_dealt_over_all_shards(spark):
+    runs = mixing.dealt(spark, [(0, 5, 12), (3, 0, 2), (4, 100, 1130)], 10).collect()
+    for source, first, last in [(0, 5, 12), (3, 0, 2), (4, 100, 1130)]:
+        mine = sorted((r["first"], r["last"]) for r in runs if r.source_index == source)
+        assert [k for a, b in mine for k in range(a, b)] == list(range(first, last))
+        sizes = [b - a for a, b in mine]
+        assert max(sizes) - min(sizes) <= 1
+        assert len({r.shard for r in runs if r.source_index == source}) == min(10, last - first)
+
+
 def test_mixed_texts(messy, texts):
     docs = messy.filter("doc_id < 100")
     out = mixing.mixed_texts(docs, block_words=8)
