@@ -17,8 +17,11 @@ are first cut where repeats cannot cross, and aligned where repeats must meet:
 4. Distinct fragments with the same anchor are the strings of the collection, aligned at the
    anchor. Columns run from the right end to the left, in tasks that hold whole anchors. Suffixes
    of one column are all that a round has to compare, so older columns need not be kept.
-5. An anchor with more than `hot_fragments` distinct fragments would overfill a task; its windows
-   are compared one by one through an aggregation instead.
+5. An anchor with more than `split_fragments` distinct fragments would overfill a task. Its
+   fragments are cut into half as many columns each; the windows of such a piece share more symbols
+   than the anchor, and pieces that share them are a group of their own. Of equal pieces the
+   earliest stays; groups still too large are cut again, down to single columns, where all pieces of
+   a group are equal. All groups end in the same column-wise construction.
 
 Defined cases: a null text is empty; texts shorter than `length` keep everything; rows that share a
 doc_id are separate documents, ordered by a hash of their text, and exactly equal rows are one
@@ -52,7 +55,8 @@ from casemart.llm.common import Bitmap, arrow_map, written
 LENGTH = 100  # bytes of a string that counts as repeated: fixed value
 GRAM = 40  # bytes of an anchor
 BATCH_BYTES = 1 << 19
-HOT_FRAGMENTS = 20_000
+SPLIT_FRAGMENTS = 4_000  # strings of a group that are sorted in one task
+SEEN_BITS = 18
 SYMBOLS = 1 << 22  # bytes of fragments sorted together in a task
 LAST = (1 << 63) - 1  # stands for a null doc_id
 
@@ -256,12 +260,43 @@ def repeated_anchors(rows: DataFrame, length: int, gram: int) -> Bitmap:
     return Bitmap.of(twice, "anchor", 25)
 
 
+class Seen:
+    """Places of fragments that a task has met: as many as a table of fixed size holds.
+
+    A fragment with an earlier equal in the table is a repeat for certain, so a passage that occurs
+    everywhere sends a few fragments per task to be compared, not one per slice of text.
+    """
+
+    def __init__(self, bits: int = SEEN_BITS):
+        self.shift = np.uint64(64 - bits)
+        self.key = np.zeros(1 << bits, dtype=np.uint64)
+        self.digest = np.zeros(1 << bits, dtype=np.uint64)
+        self.place = np.full((3, 1 << bits), LAST, dtype=np.int64)
+
+    def later(self, key, digest, *place) -> np.ndarray:
+        """Which fragments have an earlier equal; the others are remembered."""
+        slot = (mix(key * ODD + digest) >> self.shift).astype(np.int64)
+        known = (self.key[slot] == key) & (self.digest[slot] == digest)
+        less, tied = np.zeros(len(slot), dtype=bool), known
+        for column, mine in zip(self.place, place):
+            less |= tied & (column[slot] < mine)
+            tied = tied & (column[slot] == mine)
+        new = np.flatnonzero(~less)
+        # One fragment for each slot, whichever it is.
+        slots, at = np.unique(slot[new], return_index=True)
+        chosen = new[at]
+        self.key[slots], self.digest[slots] = key[chosen], digest[chosen]
+        for column, mine in zip(self.place, place):
+            column[slots] = mine[chosen]
+        return less
+
+
 def candidate_fragments(rows, several, anchors, length, gram) -> DataFrame:
-    """Fragments with a repeated anchor. Of equal ones in a slice, all but the first have anchor
-    null and a digest of their own: they are repeats already."""
+    """Fragments with a repeated anchor. Those known to have an earlier equal in the task's texts
+    have anchor null and a digest of their own: they are repeats already."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        finder = Anchors(length, gram)
+        finder, seen = Anchors(length, gram), Seen()
         for batch in batches:
             for doc, version, data, offsets in texts_of(batch, several):
                 found = finder.fragments(data, offsets)
@@ -287,6 +322,10 @@ def candidate_fragments(rows, several, anchors, length, gram) -> DataFrame:
                 )
                 drop = np.zeros(len(order), dtype=bool)
                 drop[order] = again & same
+                head = np.flatnonzero(~later & ~drop)
+                later[head] = seen.later(
+                    key[head], digest[head], doc[head], version[head], place[head]
+                )
                 own = mix(doc.view(np.uint64) * ODD + place.astype(np.uint64) + key)
                 keep = ~drop
                 yield pa.record_batch(
@@ -401,54 +440,91 @@ def sorted_repeats(strings: DataFrame, length: int) -> DataFrame:
     return placed.mapInArrow(run, REPEAT)
 
 
-def hot_repeats(strings: DataFrame, length: int) -> DataFrame:
-    """Repeated windows of anchors with too many strings for one task: an aggregation by window."""
-    schema = "doc long, version long, lo int, w1 long, w2 long"
+STRING = "doc long, version long, lo int, back int, anchor long, digest long, bytes binary"
+
+
+def cut_strings(strings: DataFrame, length: int, width: int) -> DataFrame:
+    """Every string as pieces of at most `width` columns, grouped by the symbols that all share.
 
-    def windows(batch: pa.RecordBatch):
-        text, offsets = text_batch(batch.column(3))
-        sizes = np.diff(offsets)
-        count = sizes - length + 1
-        owner = np.repeat(np.arange(len(count)), count)
-        at = ragged(offsets[:-1], count)
-        codes = []
-        for seed in (21, 22):
-            up, down = Powers().to(len(text) + 1)
+    Counted from the string's anchor leftwards, windows start in column 0, 1, and so on. Windows that
+    start in columns b * width to (b + 1) * width - 1 all hold the `length - width + 1` symbols
+    from column b * width on: with b, they are the new anchor.
+    """
+
+    def cut(batch: pa.RecordBatch):
+        doc, version, lo, back, anchor = (batch.column(i).to_numpy() for i in range(5))
+        text, offsets = text_batch(batch.column(5))
+        back = back.astype(np.int64)
+        last = back - (np.diff(offsets) - length)  # column of the last window
+        low, high = last // width, back // width
+        owner = np.repeat(np.arange(len(back)), high - low + 1)
+        block = ragged(low, high - low + 1)
+        begin = np.maximum(0, back[owner] - (block * width + width - 1))
+        end = np.minimum(back[owner] - last[owner], back[owner] - block * width) + length
+        at = back[owner] - block * width  # of the new anchor in the string
+        up, down = Powers().to(len(text) + 1)
+        start = offsets[owner]
+
+        def code(seed: int, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
             sums = np.append(np.uint64(0), np.cumsum(byte_codes(seed)[text] * up[: len(text)]))
-            codes.append(mix((sums[at + length] - sums[at]) * down[at]).view(np.int64))
-        lo = batch.column(2).to_numpy()[owner] + (at - offsets[owner])
+            return mix((sums[start + hi] - sums[start + lo]) * down[start + lo])
+
+        shared = code(21, at, at + length - width + 1)
+        key = mix(shared + anchor[owner].view(np.uint64) * ODD + block.astype(np.uint64) * MIX_A)
+        digest = code(22, begin, end) + (at - begin).astype(np.uint64) * ODD
+        sizes = end - begin
+        ends = np.cumsum(np.append(0, sizes)).astype(np.int64)
+        joined = text[ragged(start + begin, sizes)]
         yield pa.record_batch(
             [
-                pa.array(batch.column(0).to_numpy()[owner]),
-                pa.array(batch.column(1).to_numpy()[owner]), pa.array(lo.astype(np.int32)),
-                pa.array(codes[0]), pa.array(codes[1]),
+                pa.array(doc[owner]), pa.array(version[owner]),
+                pa.array((lo[owner] + begin).astype(np.int32)),
+                pa.array((at - begin).astype(np.int32)), pa.array(key.view(np.int64)),
+                pa.array(mix(digest + sizes.astype(np.uint64)).view(np.int64)),
+                pa.LargeBinaryArray.from_buffers(
+                    pa.large_binary(), len(owner),
+                    [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(joined.tobytes())],
+                ).cast(pa.binary()),
             ],
-            names=["doc", "version", "lo", "w1", "w2"],
+            names=["doc", "version", "lo", "back", "anchor", "digest", "bytes"],
         )
 
-    each = written(
-        arrow_map(strings, windows, schema, ["doc", "version", "lo", "bytes"]), "hot-windows"
-    )
-    place = F.struct("doc", "version", "lo")
-    first = each.groupBy("w1", "w2").agg(F.min(place).alias("first"), F.count("*").alias("n"))
-    return (
-        each.join(first.filter("n > 1"), ["w1", "w2"])
-        .filter(place != F.col("first"))
-        .select("doc", "version", "lo", F.lit(1).alias("windows"))
-    )
+    return arrow_map(strings, cut, STRING, ["doc", "version", "lo", "back", "anchor", "bytes"])
+
+
+def split_groups(
+    strings: DataFrame, length: int, gram: int, limit: int
+) -> tuple[list[DataFrame], list[DataFrame]]:
+    """Groups of at most `limit` strings made of the larger ones in `strings`, and the repeats found."""
+    place = ["doc", "version", "lo"]
+    groups, found = [], []
+    width = length - gram + 1
+    while width > 1 and not (hot := strings.filter(F.col("n") > limit)).isEmpty():
+        width = -(-width // 2)
+        pieces = written(cut_strings(hot, length, width), "pieces")
+        # Partial sums, then joins by place: no group meets in one task.
+        distinct = pieces.groupBy("anchor", "digest").agg(F.min(F.struct(*place)).alias("first"))
+        sizes = distinct.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"))
+        firsts = written(
+            distinct.join(sizes, "anchor").select("first.*", "n"), "first-pieces"
+        )
+        windows = (F.length("bytes") - length + 1).alias("windows")
+        found.append(pieces.join(firsts, place, "left_anti").select(*place, windows))
+        strings = pieces.join(firsts.filter("n > 1"), place)
+        groups.append(strings.filter(F.col("n") <= limit) if width > 1 else strings)
+    return groups, found
 
 
 def repeats(
-    docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot_fragments: int = HOT_FRAGMENTS
-) -> tuple[DataFrame, Bitmap]:
-    """(doc, version, lo, windows): runs of windows that occur earlier, and the shared doc_ids."""
+    docs: DataFrame, length: int = LENGTH, gram: int = GRAM, split_fragments: int = SPLIT_FRAGMENTS
+) -> tuple[DataFrame, DataFrame]:
+    """(doc, version, lo, windows): runs of windows that occur earlier, and the shared doc_ids (doc)."""
     rows = row_ids(docs)
-    several = Bitmap.of(
-        rows.groupBy("doc", "key").agg(F.count(F.lit(1)).alias("n")).filter(
-            (F.col("n") > 1) | (F.col("doc") == LAST)
-        ),
-        "key", 23,
+    ids = rows.groupBy("doc", "key").agg(F.count(F.lit(1)).alias("n"))
+    shared = written(
+        ids.filter((F.col("n") > 1) | (F.col("doc") == LAST)).select("doc", "key"), "shared-ids"
     )
+    several = Bitmap.of(shared, "key", 23)
     anchors = repeated_anchors(rows, length, gram)
     found = candidate_fragments(rows, several, anchors, length, gram)
     place = F.struct("doc", "version", "lo")
@@ -472,15 +548,20 @@ def repeats(
     texts = fragment_bytes(rows, several, strings, length, gram)
     filled = strings.join(texts, ["doc", "version", "lo", "digest"])
     out = marked.filter("not stays").select("doc", "version", "lo", "windows")
-    out = out.unionByName(sorted_repeats(filled.filter(F.col("n") <= hot_fragments), length))
-    if not strings.filter(F.col("n") > hot_fragments).isEmpty():
-        hot = filled.filter(F.col("n") > hot_fragments)
-        out = out.unionByName(hot_repeats(hot, length))
-    return out, several
+    groups = [filled.filter(F.col("n") <= split_fragments)]
+    if not strings.filter(F.col("n") > split_fragments).isEmpty():
+        filled = written(filled, "filled")
+        smaller, found = split_groups(filled, length, gram, split_fragments)
+        groups = [filled.filter(F.col("n") <= split_fragments), *smaller]
+        for more in found:
+            out = out.unionByName(more)
+    for group in groups:
+        out = out.unionByName(sorted_repeats(group, length))
+    return out, shared
 
 
 def dedup(
-    docs: DataFrame, length: int = LENGTH, gram: int = GRAM, hot_fragments: int = HOT_FRAGMENTS,
+    docs: DataFrame, length: int = LENGTH, gram: int = GRAM, split_fragments: int = SPLIT_FRAGMENTS,
     whole_chars: bool = False, keep: tuple[str, ...] = (),
 ) -> DataFrame:
     """Every row with what is left of its text.
@@ -488,8 +569,19 @@ def dedup(
     doc_id, n_bytes, kept (binary), spans: array of (start, length) in bytes of the removed runs,
     and the columns named in `keep`. `whole_chars` leaves characters that a run covers only partly.
     """
-    runs, several = repeats(docs, length, gram, hot_fragments)
-    runs = runs.groupBy("doc").agg(F.collect_list(F.struct("version", "lo", "windows")).alias("runs"))
+    runs, shared = repeats(docs, length, gram, split_fragments)
+    # Rows without an id, or with another's, are told apart by their texts' hashes.
+    shared = shared.select("doc", F.lit(True).alias("shared"))
+
+    def part(version: str):
+        return F.when(F.col("shared"), F.col(version)).otherwise(0).alias("part")
+
+    runs = (
+        runs.join(shared, "doc", "left")
+        .select("doc", part("version"), "lo", "windows")
+        .groupBy("doc", "part")
+        .agg(F.collect_list(F.struct("lo", "windows")).alias("runs"))
+    )
     extra = [F.col(c).alias(f"_{c}") for c in keep]
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
@@ -497,9 +589,10 @@ def dedup(
         F.coalesce("text", F.lit("")).alias("text"),
         *extra,
     )
-    joined = rows.join(runs, "doc", "left").select(
-        "doc_id", F.xxhash64("doc").alias("key"), F.xxhash64("text").alias("hash"), "text", "runs",
-        *(f"_{c}" for c in keep),
+    rows = rows.withColumn("hash", F.xxhash64("text")).join(shared, "doc", "left")
+    rows = rows.select("doc", part("hash"), "doc_id", "text", *(f"_{c}" for c in keep))
+    joined = rows.join(runs, ["doc", "part"], "left").select(
+        "doc_id", "text", "runs", *(f"_{c}" for c in keep)
     )
     schema = T._parse_datatype_string(
         "doc_id long, n_bytes long, kept binary, spans array<struct<start:long,length:long>>"
@@ -508,14 +601,11 @@ def dedup(
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, offsets = text_batch(batch.column(3))
-            code = batch.column(2).to_numpy()
-            shared = several.has(batch.column(1).to_numpy())
+            data, offsets = text_batch(batch.column(1))
             kept, spans = [], []
-            for i, found in enumerate(batch.column(4).to_pylist()):
+            for i, found in enumerate(batch.column(2).to_pylist()):
                 text = data[offsets[i] : offsets[i + 1]]
-                version = int(code[i]) if shared[i] else 0
-                mine = [(r["lo"], r["windows"]) for r in found or () if r["version"] == version]
+                mine = [(r["lo"], r["windows"]) for r in found or ()]
                 left, gone = cut_text(text, mine, length, whole_chars)
                 kept.append(left)
                 spans.append(gone)
@@ -523,7 +613,7 @@ def dedup(
             yield pa.record_batch(
                 [
                     batch.column(0), pa.array(np.diff(offsets)), pa.array(kept, pa.binary()),
-                    pa.array(spans, kind), *batch.columns[5:],
+                    pa.array(spans, kind), *batch.columns[3:],
                 ],
                 names=["doc_id", "n_bytes", "kept", "spans", *(f"_{c}" for c in keep)],
             )

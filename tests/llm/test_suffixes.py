@@ -92,5 +92,60 @@ def test_columns_against_sorted_suffixes():
         assert got == want
 
 
+@pytest.mark.parametrize("shared", [45, 70, 95, 140])
+def test_one_passage_in_all_texts(spark, shared):
+    """An anchor with far more strings than a task sorts is cut into smaller groups, exactly."""
+    rng = np.random.default_rng(shared)
+
+    def text(n):
+        return "".join(rng.choice(list("abcd"), n))
+
+    passage, heads, tails = text(shared), [text(40) for _ in range(9)], [text(60) for _ in range(9)]
+    rows = [
+        (i, text(30) + heads[rng.integers(9)] + passage + tails[rng.integers(9)] + text(50))
+        for i in range(400)
+    ]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    want = brute([(i, t.encode()) for i, t in rows], 100)
+    for limit in (3, 50):
+        assert digest(suffixes.dedup(frame, split_fragments=limit)) == want
+    assert sum(x[1] for x in want.values()) > 1000
+
+
+def test_pieces_hold_each_window_once(spark):
+    rng = np.random.default_rng(1)
+    length, gram, width = 100, 40, 61
+    rows = []
+    for i in range(50):
+        back, more = int(rng.integers(0, 61)), int(rng.integers(0, 61))
+        size = length + min(back, more)
+        rows.append((i, 0, 1000, back, 7, bytes(rng.integers(97, 123, size).tolist())))
+    frame = spark.createDataFrame(
+        rows, "doc long, version long, lo int, back int, anchor long, bytes binary")
+    whole = {r[0]: r[5] for r in rows}
+    for width in (31, 8, 1):
+        windows = []
+        for p in suffixes.cut_strings(frame, length, width).collect():
+            assert bytes(p.bytes) == whole[p.doc][p.lo - 1000 :][: len(p.bytes)]
+            assert len(p.bytes) < length + width and 0 <= p.back < width
+            windows += [(p.doc, p.lo - 1000 + w) for w in range(len(p.bytes) - length + 1)]
+        want = [(i, w) for i, b in whole.items() for w in range(len(b) - length + 1)]
+        assert sorted(windows) == want
+
+
+def test_a_task_remembers_smaller_places():
+    seen = suffixes.Seen(4)
+    key, digest = np.array([5, 6], dtype=np.uint64), np.array([1, 1], dtype=np.uint64)
+    at = lambda *v: np.array(v, dtype=np.int64)
+    assert seen.later(key, digest, at(9, 9), at(0, 0), at(3, 3)).tolist() == [False, False]
+    assert seen.later(key[:1], digest[:1], at(9), at(0), at(4)).tolist() in ([True], [False])
+    one = suffixes.Seen(4)
+    one.later(key[:1], digest[:1], at(9), at(0), at(3))
+    assert one.later(key[:1], digest[:1], at(9), at(0), at(3)).tolist() == [False]  # itself
+    assert one.later(key[:1], digest[:1], at(9), at(0), at(4)).tolist() == [True]
+    assert one.later(key[:1], digest[:1], at(2), at(7), at(9)).tolist() == [False]
+    assert one.later(key[:1], digest[:1], at(9), at(0), at(3)).tolist() == [True]
+
+
 def test_empty(no_docs):
     assert suffixes.digest(no_docs).count() == 0
