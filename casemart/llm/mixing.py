@@ -288,7 +288,8 @@ def mix(
         ),
         F.least(F.col("size"), (F.col("block") + 1) * block_words - F.col("at")).alias("end"),
     )
-    pieces = slots.join(spans, ["source_index", "block"]).select(
+    # Slots are expanded from a few bytes, so Spark's estimate of them is far too low to broadcast by.
+    pieces = slots.hint("merge").join(spans, ["source_index", "block"]).select(
         "shard", "slot", "pass", "source", "source_index", "block", "doc_id", "size", "hash", "at",
         "start", (F.col("end") - F.col("start")).alias("length"),
     )
