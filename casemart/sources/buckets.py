@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from casemart.sources.tables import delete_folder, matching
 
 BUCKET, NEW = "_bucket", "_new"
+# Keys that are broadcast to the stored rows; more of them meet in a merge join.
+BROADCAST_KEYS = 100_000
 
 
 @dataclass(frozen=True)
@@ -119,11 +121,22 @@ class BucketStore:
         kept = self.pick(old.unionByName(new), [F.col(NEW)])
         kept.repartition(BUCKET).write.mode("overwrite").partitionBy(BUCKET).parquet(f"{aside}/rows")
         staged = self._read(f"{aside}/rows", f"{self._columns()}, {NEW} boolean, {BUCKET} int")
-        won = staged.filter(NEW).select(F.col(self.key).alias("_key"), F.col(BUCKET).alias("_at"))
-        lost = (F.col(BUCKET) == F.col("_at")) & F.col(self.key).eqNullSafe(F.col("_key"))
-        old.join(won, lost, "left_semi").select(*columns).write.mode("overwrite").parquet(
-            f"{aside}/removed"
-        )
+        lost = self._lost(old, staged.filter(NEW))
+        lost.select(*columns).write.mode("overwrite").parquet(f"{aside}/removed")
+
+    def _lost(self, old: DataFrame, won: DataFrame) -> DataFrame:
+        """The stored rows whose keys new rows have won.
+
+        Spark takes the winners for a few columns' share of the compressed files and would broadcast
+        millions of keys, so they are counted and the join is named.
+        """
+        winners = won.count() if self._exists(f"{self.path}/rows") else 0
+        if not winners:
+            return old.filter(F.lit(False))
+        keys = won.select(F.col(self.key).alias("_key"), F.col(BUCKET).alias("_at"))
+        same = (F.col(BUCKET) == F.col("_at")) & F.col(self.key).eqNullSafe(F.col("_key"))
+        how = "broadcast" if winners <= BROADCAST_KEYS else "merge"
+        return old.join(keys.hint(how), same, "left_semi")
 
     def _replace(self, aside: str) -> None:
         staged = self._read(f"{aside}/rows", f"{self._columns()}, {NEW} boolean, {BUCKET} int")

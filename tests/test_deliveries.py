@@ -4,13 +4,14 @@ import os
 import random
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrameWriter, functions as F
 
 from casemart.operators import changed, fold
 from casemart.plans import clean, cube, deliveries, marts
 from casemart.plans.layers import Layers, keep_under
 from casemart.plans.queries import Workspace
 from casemart.schema import RAW_SCHEMA, Flavour
+from casemart.sources import buckets
 from casemart.sources.buckets import BucketStore
 from tests.test_marts import case
 
@@ -126,6 +127,43 @@ def test_a_repeated_delivery_under_another_name_changes_nothing(spark, tmp_path,
     assert change.added.count() == change.removed.count() == 0
 
 
+@pytest.fixture
+def removed_plans(monkeypatch, plan):
+    """The plans of the frames that are written as removed rows, in order."""
+    plans, write = [], DataFrameWriter.parquet
+
+    def parquet(self, path, *args, **kwargs):
+        if path.endswith("/removed"):
+            plans.append(plan(self._df))
+        return write(self, path, *args, **kwargs)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", parquet)
+    return plans
+
+
+def test_many_winners_are_not_broadcast(spark, tmp_path, three, removed_plans, monkeypatch):
+    store = deliveries.report_store(spark, str(tmp_path), buckets=8)
+    monkeypatch.setattr(buckets, "BROADCAST_KEYS", 0, raising=False)
+    replaced = 0
+    for n, delivery in enumerate(three):
+        before = {tuple(r) for r in store.read().collect()}
+        change = store.merge(delivery, f"d{n}")
+        after = {tuple(r) for r in store.read().collect()}
+        assert {tuple(r) for r in change.removed.collect()} == before - after
+        replaced += len(before - after)
+    assert replaced
+    assert "Join" not in removed_plans[0] and "SortMergeJoin" in removed_plans[1]
+    assert not any("BroadcastHashJoin" in text for text in removed_plans)
+
+
+def test_few_winners_are_broadcast(spark, tmp_path, three, removed_plans):
+    store = deliveries.report_store(spark, str(tmp_path), buckets=8)
+    store.merge(three[0], "a")
+    assert store.merge(three[1], "b").removed.count()
+    store.merge(three[0], "c")  # without a winner nothing is joined
+    assert [text.count("BroadcastHashJoin") for text in removed_plans] == [0, 1, 0]
+
+
 def test_a_hot_case_is_cut_before_the_shuffle(spark, tmp_path, three, plan):
     store = deliveries.report_store(spark, str(tmp_path), buckets=8)
     rows = three[0].withColumns({"_new": F.lit(True), "_bucket": store._bucket()})
