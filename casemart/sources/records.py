@@ -183,5 +183,7 @@ def read_raw_records(
     records = single.unionByName(several).select(
         "file", F.regexp_replace("value", r"\r\z", "").alias("value")
     )
-    rows = records.filter("value <> ''").select("file", _parsed("value").alias("r"))
-    return rows.select("r.*", *(["file"] if with_file else []))
+    # A generator's row is parsed once; a filter on the columns of a projection would be moved below
+    # it and parse a line again for every column that it names.
+    rows = records.filter("value <> ''").select("file", F.inline(F.array(_parsed("value"))))
+    return rows.select(*LINE_SCHEMA.names, *(["file"] if with_file else []))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from casemart.schema import RAW_COLUMNS
 from casemart.sources import read_raw_csv, records
-from casemart.sources.raw import REJECTED
+from casemart.sources.raw import REJECTED, fitting
 from tests.test_sources import HEADER, line, write_csv
 
 
@@ -120,3 +120,11 @@ def test_no_task_reads_a_whole_file(spark, tmp_path, plan):
     write_csv(tmp_path / "a.csv", line("1"))
     text = plan(records.read_raw_records(spark, str(tmp_path)))
     assert "SinglePartition" not in text and "Python" not in text and "MapInArrow" not in text
+
+
+def test_a_filter_does_not_parse_a_line_again(spark, tmp_path, plan):
+    (tmp_path / "a.csv").write_text(HEADER + "".join(line(str(i)) for i in range(5)))
+    text = plan(fitting(records.read_raw_records(spark, str(tmp_path))), "formatted")
+    conditions = [x for x in text.splitlines() if x.startswith("Condition")]
+    assert conditions and not any("from_csv" in x for x in conditions)
+    assert all(x.count("from_csv") <= 2 for x in text.splitlines())  # a span: whole, or its lines
