@@ -35,8 +35,11 @@ def raw_cases(spark: SparkSession, sf_dir: str, reports: str = "all") -> DataFra
     as the first ones.
     """
     orders, customer, nation, region = (table(spark, sf_dir, n) for n in RAW_INPUTS)
+    # A few narrow columns become a wide row of text: the orders are spread first, or a file with
+    # one row group would be one task's, here and in every layer that reads the written rows.
+    spread = orders.repartition("o_orderkey")
     base = (
-        orders.join(customer, F.col("o_custkey") == F.col("c_custkey"))
+        spread.join(customer, F.col("o_custkey") == F.col("c_custkey"))
         .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
         .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
         .withColumn("d0", F.col("o_orderdate").cast("date"))

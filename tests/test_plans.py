@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from casemart.plans import clean, marts
+from casemart.plans.fixture import raw_cases
 from casemart.plans.queries import Workspace, all_queries
 from casemart.plans.star import fact_cases
 from casemart.schema import Flavour
@@ -99,3 +100,15 @@ def test_a_hot_department_is_split_when_dimensions_outgrow_the_broadcast(
 def test_line_items_are_folded_before_the_join(spark, sf_dir, plan):
     text = plan(all_queries()["delay_orders_ship"](spark, sf_dir))
     assert text.index("Join") < text.index("partial_sum(datediff(cast(l_shipdate")
+
+
+def test_one_row_group_becomes_the_work_of_many_tasks(spark, sf_dir, tmp_path):
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        raw_cases(spark, sf_dir).write.parquet(str(tmp_path / "raw"))
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    sizes = spark.read.parquet(str(tmp_path / "raw")).groupBy("_metadata.file_path").count()
+    counts = [r["count"] for r in sizes.collect()]
+    assert len(counts) > 1 and max(counts) < 2 * sum(counts) / len(counts)
