@@ -89,14 +89,17 @@ def words_of(unit: Column) -> Column:
 
 def bigrams(unit: Column) -> Column:
     """The distinct bigrams of a unit, as an array of text."""
-    words = words_of(unit)
-    return F.array_distinct(
-        F.zip_with(
-            F.slice(words, 1, F.size(words) - 1),
-            F.slice(words, 2, F.greatest(F.size(words) - 1, F.lit(0))),
-            lambda a, b: F.concat(a, F.lit(" "), b),
-        )
-    )
+    # Bound as an element: inside a lambda every mention of the words would normalise the text again.
+    return F.transform(
+        F.array(words_of(unit)),
+        lambda words: F.array_distinct(
+            F.zip_with(
+                F.slice(words, 1, F.size(words) - 1),
+                F.slice(words, 2, F.greatest(F.size(words) - 1, F.lit(0))),
+                lambda a, b: F.concat(a, F.lit(" "), b),
+            )
+        ),
+    )[0]
 
 
 def scan(

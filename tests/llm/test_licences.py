@@ -3,6 +3,7 @@ import re
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from casemart.llm import licences
 from tests.llm.conftest import make_words
@@ -90,3 +91,11 @@ def test_empty_table_and_plan(no_docs, messy, plan):
     assert licences.digest(no_docs).count() == 0
     text = plan(licences.digest(messy))
     assert "Python" not in text and "hashpartitioning" not in text
+
+
+def test_a_text_is_normalised_once_for_its_bigrams(spark, plan):
+    docs = spark.createDataFrame([("a b a b c",)], "text string").repartition(1)
+    found = docs.select(licences.bigrams(F.col("text")).alias("grams"))
+    assert found.first().grams == ["a b", "b a", "b c"]
+    text = plan(found, "extended").split("== Physical Plan ==")[1]
+    assert text.count("regexp_replace(") == 1
